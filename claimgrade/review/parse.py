@@ -6,13 +6,12 @@ is looked at with its JSON type before it is converted.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgrade.config import MAX_SNIPPETS, SCOPES
 from claimgrade.functions import variants as v
+from claimgrade.functions.steps import compute, let
 from claimgrade.functions.text import blank_to_null, strip
 
 # Texts read as booleans, and the fields a record may have
@@ -88,13 +87,9 @@ def assistant_text(response: Column) -> Column:
 
 def extract_text(responses: DataFrame) -> DataFrame:
     """Add ``assistant_text`` and ``error`` from ``raw_response_json``."""
-    text = assistant_text(F.col("_response"))
-    return (
-        responses.withColumn("_response", F.try_parse_json("raw_response_json"))
-        .withColumn("assistant_text", text)
-        .drop("_response")
-        .withColumn("error", F.when(F.col("assistant_text").isNull(), F.lit(NO_TEXT)))
-    )
+    read = compute(responses, _response=F.try_parse_json("raw_response_json"))
+    found = compute(read, assistant_text=assistant_text(F.col("_response"))).drop("_response")
+    return found.withColumn("error", F.when(F.col("assistant_text").isNull(), F.lit(NO_TEXT)))
 
 
 # --- JSON object -------------------------------------------------------------
@@ -114,28 +109,17 @@ def extract_object(texts: DataFrame) -> DataFrame:
     last closing brace is tried.
     """
     braces = r"(?s)\{.*\}"
-    parsed = (
-        texts.withColumn("_clean", unfenced(F.col("assistant_text")))
-        .withColumn("_whole", v.parse(F.col("_clean")))
-        .withColumn(
-            "_value",
-            F.coalesce(
-                "_whole",
-                F.when(F.col("_whole").isNull(), v.parse(F.regexp_extract("_clean", braces, 0))),
-            ),
-        )
-    )
+    clean = compute(texts, _clean=unfenced(F.col("assistant_text")))
+    whole = compute(clean, _whole=v.parse(F.col("_clean")))
+    part = F.when(F.col("_whole").isNull(), v.parse(F.regexp_extract("_clean", braces, 0)))
+    value = compute(whole, _value=F.coalesce("_whole", part))
     ok = v.is_object(F.col("_value"))
-    return parsed.withColumns(
-        {
-            "payload": F.when(ok, F.col("_value")),
-            "error": F.coalesce(
-                "error",
-                F.when(F.col("_value").isNull(), F.lit(NO_OBJECT)),
-                F.when(~ok, F.lit(NOT_AN_OBJECT)),
-            ),
-        }
-    ).drop("_clean", "_whole", "_value")
+    problem = F.coalesce(
+        "error",
+        F.when(F.col("_value").isNull(), F.lit(NO_OBJECT)),
+        F.when(~ok, F.lit(NOT_AN_OBJECT)),
+    )
+    return compute(value, payload=F.when(ok, F.col("_value")), error=problem).drop("_clean", "_whole", "_value")
 
 
 # --- records -----------------------------------------------------------------
@@ -173,54 +157,78 @@ def signal(record: Column) -> Column:
     Null or absent is allowed everywhere but in the snippets, which may only be
     absent. Booleans and numbers may be written as text. Unknown keys are refused.
     """
-    at = {f: v.at(record, f"$.{f}") for f in SIGNAL_FIELDS}
-    booleans = {f: _boolean(at[f]) for f in BOOLEAN_FIELDS}
-    confidence = _number(at["confidence"])
-    scope = v.string_at(record, "$.capability_scope")
-    snippets, reasoning = at["supporting_snippets"], at["reasoning"]
-    only_strings = v.is_array(snippets) & F.coalesce(
-        F.forall(v.array_at(snippets, "$"), v.is_string), F.lit(False)
-    )
-    checks = [
-        *[(f, v.is_missing(at[f]) | booleans[f].isNotNull()) for f in BOOLEAN_FIELDS],
-        ("capability_scope", v.is_missing(at["capability_scope"]) | F.coalesce(scope.isin(*SCOPES), F.lit(False))),
-        ("supporting_snippets", snippets.isNull() | only_strings),
-        (
-            "confidence",
-            v.is_missing(at["confidence"]) | F.coalesce(confidence.between(0.0, 1.0), F.lit(False)),
-        ),
-        ("reasoning", v.is_missing(reasoning) | v.is_string(reasoning)),
-    ]
-    unknown = F.array_except(v.keys(record), F.array(*[F.lit(f) for f in (*SIGNAL_FIELDS, "capability")]))
-    problem = F.concat_ws(
-        "; ",
-        F.when(~v.is_object(record), F.lit("not an object")),
-        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown keys: "), F.array_join(unknown, ", "))),
-        *[F.when(~ok, F.lit(f"bad {name}")) for name, ok in checks],
-    )
-    return F.struct(
-        *[booleans[f].alias(f) for f in BOOLEAN_FIELDS],
-        scope.alias("capability_scope"),
-        F.coalesce(_snippets(snippets), F.array().cast("array<string>")).alias("supporting_snippets"),
-        confidence.alias("confidence"),
-        v.string_at(record, "$.reasoning").alias("reasoning"),
-        v.at(record, "$.capability").alias("named"),
-        _non_empty(problem).alias("problem"),
-    )
+
+    def flag(value: Column) -> Column:
+        return let(
+            _boolean(value),
+            lambda b: F.struct(b.alias("value"), (v.is_missing(value) | b.isNotNull()).alias("ok")),
+        )
+
+    def label(value: Column) -> Column:
+        text = F.when(v.is_string(value), F.try_variant_get(value, "$", "string"))
+        return let(
+            text,
+            lambda t: F.struct(
+                t.alias("value"),
+                (v.is_missing(value) | F.coalesce(t.isin(*SCOPES), F.lit(False))).alias("ok"),
+            ),
+        )
+
+    def snippets(value: Column) -> Column:
+        strings = v.is_array(value) & F.coalesce(F.forall(v.array_at(value, "$"), v.is_string), F.lit(False))
+        return F.struct(
+            F.coalesce(_snippets(value), F.array().cast("array<string>")).alias("value"),
+            (value.isNull() | strings).alias("ok"),
+        )
+
+    def share(value: Column) -> Column:
+        return let(
+            _number(value),
+            lambda n: F.struct(
+                n.alias("value"),
+                (v.is_missing(value) | F.coalesce(n.between(0.0, 1.0), F.lit(False))).alias("ok"),
+            ),
+        )
+
+    def words(value: Column) -> Column:
+        return F.struct(
+            F.when(v.is_string(value), F.try_variant_get(value, "$", "string")).alias("value"),
+            (v.is_missing(value) | v.is_string(value)).alias("ok"),
+        )
+
+    readers = dict(zip(SIGNAL_FIELDS, (flag, flag, flag, label, snippets, share, words), strict=True))
+    read = F.struct(*[let(v.at(record, f"$.{f}"), reader).alias(f) for f, reader in readers.items()])
+    allowed = F.array(*[F.lit(f) for f in (*SIGNAL_FIELDS, "capability")])
+    unknown = F.array_join(F.array_except(v.keys(record), allowed), ", ")
+
+    def judged(fields: Column) -> Column:
+        problem = F.concat_ws(
+            "; ",
+            F.when(~v.is_object(record), F.lit("not an object")),
+            F.concat(F.lit("unknown keys: "), _non_empty(unknown)),
+            *[F.when(~fields[f]["ok"], F.lit(f"bad {f}")) for f in SIGNAL_FIELDS],
+        )
+        return F.struct(
+            *[fields[f]["value"].alias(f) for f in SIGNAL_FIELDS],
+            v.at(record, "$.capability").alias("named"),
+            _non_empty(problem).alias("problem"),
+        )
+
+    return let(read, judged)
 
 
 def validate_single(objects: DataFrame) -> DataFrame:
     """One record per answer: add ``records`` (one struct per requested capability)."""
-    checked = objects.withColumn("_signal", F.when(F.col("error").isNull(), signal(F.col("payload"))))
+    checked = compute(objects, _signal=F.when(F.col("error").isNull(), signal(F.col("payload"))))
     # a single record has no place for a capability name
-    problem = F.concat_ws(
-        "; ", F.col("_signal.problem"), F.when(F.col("_signal.named").isNotNull(), F.lit("unknown keys: capability"))
+    extra = F.when(F.col("_signal.named").isNotNull(), F.lit("unknown keys: capability"))
+    problem = _non_empty(F.concat_ws("; ", F.col("_signal.problem"), extra))
+    record = F.struct(
+        F.get("capabilities", F.lit(0)).alias("capability"), *[F.col(f"_signal.{f}") for f in SIGNAL_FIELDS]
     )
-    record = F.struct(F.get("capabilities", F.lit(0)).alias("capability"), *[F.col(f"_signal.{f}") for f in SIGNAL_FIELDS])
-    return (
-        checked.withColumn("error", F.coalesce("error", _non_empty(problem)))
-        .withColumn("records", F.when(F.col("error").isNull(), F.array(record)))
-        .drop("_signal", "payload")
+    judged = compute(checked, error=F.coalesce("error", problem))
+    return judged.withColumn("records", F.when(F.col("error").isNull(), F.array(record))).drop(
+        "_signal", "payload"
     )
 
 
@@ -231,55 +239,58 @@ def validate_batch(objects: DataFrame) -> DataFrame:
     one capability the last counts, and records nobody asked for are ignored.
     """
     results = v.at(F.col("payload"), "$.results")
-    unknown = F.array_except(v.keys(F.col("payload")), F.array(F.lit("results")))
-    listed = (
-        objects.withColumn("_signals", F.transform(v.array_at(results, "$"), signal))
-        .withColumn("_bad", F.filter("_signals", lambda s: s["problem"].isNotNull() | ~v.is_string(s["named"])))
-        .withColumn(
-            "_named",
-            F.transform(
-                "_signals",
-                lambda s: F.struct(
-                    F.lower(strip(F.try_variant_get(s["named"], "$", "string"))).alias("capability"),
-                    *[s[f].alias(f) for f in SIGNAL_FIELDS],
+
+    def keyed(item: Column) -> Column:
+        return let(
+            signal(item),
+            lambda s: F.struct(
+                F.when(v.is_string(s["named"]), F.lower(strip(F.try_variant_get(s["named"], "$", "string")))).alias(
+                    "key"
                 ),
+                F.coalesce(
+                    s["problem"], F.when(~v.is_string(s["named"]), F.lit("a result without capability"))
+                ).alias("problem"),
+                F.struct(*[s[f].alias(f) for f in SIGNAL_FIELDS]).alias("record"),
             ),
         )
-        .withColumn(
-            "_missing",
-            F.filter(
-                "capabilities",
-                lambda c: ~F.exists("_named", lambda s: F.coalesce(s["capability"] == F.lower(c), F.lit(False))),
-            ),
+
+    def last(capability: Column) -> Column:
+        same = F.filter("_results", lambda r: F.coalesce(r["key"] == F.lower(capability), F.lit(False)))
+        return F.struct(
+            capability.alias("capability"), F.try_element_at(same, F.lit(-1))["record"].alias("record")
         )
+
+    read = compute(
+        objects,
+        _results=F.transform(v.array_at(results, "$"), keyed),
+        _unknown=_non_empty(
+            F.array_join(F.array_except(v.keys(F.col("payload")), F.array(F.lit("results"))), ", ")
+        ),
+        _listed=v.is_array(results),
+    )
+    matched = compute(read, _matched=F.transform("capabilities", last))
+    bad = F.array_compact(F.transform("_results", lambda r: r["problem"]))
+    missing = F.array_sort(
+        F.transform(F.filter("_matched", lambda m: m["record"].isNull()), lambda m: m["capability"])
     )
     problem = F.concat_ws(
         "; ",
-        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown keys: "), F.array_join(unknown, ", "))),
-        F.when(~v.is_array(results), F.lit("no list of results")),
-        F.when(F.size("_bad") > 0, F.array_join(F.transform("_bad", _item_problem), "; ")),
+        F.concat(F.lit("unknown keys: "), F.col("_unknown")),
+        F.when(~F.col("_listed"), F.lit("no list of results")),
+        _non_empty(F.array_join(bad, "; ")),
         F.when(
-            v.is_array(results) & (F.size("_missing") > 0),
-            F.concat(F.lit("missing capabilities: "), F.array_join(F.array_sort("_missing"), ", ")),
+            F.col("_listed"),
+            F.concat(F.lit("missing capabilities: "), _non_empty(F.array_join(missing, ", "))),
         ),
     )
-    picked = F.transform("capabilities", _last_record)
-    return (
-        listed.withColumn("error", F.coalesce("error", _non_empty(problem)))
-        .withColumn("records", F.when(F.col("error").isNull(), picked))
-        .drop("_signals", "_bad", "_named", "_missing", "payload")
+    judged = compute(matched, error=F.coalesce("error", _non_empty(problem)))
+    records = F.transform(
+        "_matched",
+        lambda m: F.struct(m["capability"].alias("capability"), *[m["record"][f].alias(f) for f in SIGNAL_FIELDS]),
     )
-
-
-def _item_problem(s: Column) -> Column:
-    return F.coalesce(s["problem"], F.lit("a result without capability"))
-
-
-def _last_record(capability: Column) -> Column:
-    record = F.try_element_at(
-        F.filter("_named", lambda s: s["capability"] == F.lower(capability)), F.lit(-1)
+    return judged.withColumn("records", F.when(F.col("error").isNull(), records)).drop(
+        "_results", "_unknown", "_listed", "_matched", "payload"
     )
-    return F.struct(capability.alias("capability"), *[record[f].alias(f) for f in SIGNAL_FIELDS])
 
 
 def parse(responses: DataFrame, batch: bool = True) -> DataFrame:
@@ -290,18 +301,16 @@ def parse(responses: DataFrame, batch: bool = True) -> DataFrame:
 
 def split(parsed: DataFrame) -> DataFrame:
     """One row per requested capability of the valid answers, with ``parsed_json``."""
-    document = F.struct(*[F.col(f"_record.{f}") for f in SIGNAL_FIELDS])
+    document = F.struct(*[F.col(f"_pair.records.{f}") for f in SIGNAL_FIELDS])
+    asked = ("capability", "evidence_fingerprint", "source_snapshot_ts")
     return (
         parsed.where(F.col("error").isNull())
         .withColumn("_pair", F.explode(F.arrays_zip("requested", "records")))
-        .withColumns({"_request": F.col("_pair.requested"), "_record": F.col("_pair.records")})
         .withColumns(
             {
-                "capability": F.col("_request.capability"),
-                "evidence_fingerprint": F.col("_request.evidence_fingerprint"),
-                "source_snapshot_ts": F.col("_request.source_snapshot_ts"),
+                **{name: F.col(f"_pair.requested.{name}") for name in asked},
                 "parsed_json": F.to_json(document, {"ignoreNullFields": "false"}),
             }
         )
-        .drop("_pair", "_request", "_record")
+        .drop("_pair")
     )

@@ -30,8 +30,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows; stops counting just above that."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` has at most ``rows`` rows.
+
+    Counts per partition, which a stored table answers from its file footers; a limit
+    before the count would send rows to one task.
+    """
+    return df.count() <= rows
 
 
 def shared_folder(spark: SparkSession) -> str:
