@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,19 +11,22 @@ from pyspark.sql import functions as F
 EMPTY_JSON_ARRAY = "[]"
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    conditions = list(conditions)
-    return reduce(or_, conditions) if conditions else F.lit(False)
+def quote(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def contains_any(text: Column, terms: Iterable[str], prefixes: Iterable[str] = ()) -> Column:
-    """Any term occurs in ``text``, or it starts with one of ``prefixes``.
+def contains_any(column: str, terms: Iterable[str], prefixes: Iterable[str] = ()) -> str:
+    """SQL condition: any term occurs in the column, or it starts with one of ``prefixes``.
 
-    A term that has another listed term inside it adds nothing, so it is left out.
+    Word lists are long, so they become one SQL text instead of many small column
+    calls. A term that has another listed term inside it adds nothing and is left out.
     """
     terms = list(terms)
     needed = [t for t in terms if not any(o != t and o in t for o in terms)]
-    return any_of([text.contains(t) for t in needed] + [text.startswith(p) for p in prefixes])
+    tests = [f"contains({column}, {quote(t)})" for t in needed]
+    tests += [f"startswith({column}, {quote(p)})" for p in prefixes]
+    return "(" + (" OR ".join(tests) or "false") + ")"
 
 
 def blank_to_null(c: Column) -> Column:

@@ -29,11 +29,11 @@ def kind(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(value, "$", ANY_MAP).isNotNull()
 
 
 def is_array(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(value, "$", ANY_ARRAY).isNotNull()
 
 
 def is_string(value: Column) -> Column:
@@ -54,7 +54,7 @@ def is_number(value: Column) -> Column:
 
 def is_missing(value: Column) -> Column:
     """Absent, or a JSON null."""
-    return value.isNull() | F.coalesce(kind(value) == "VOID", F.lit(False))
+    return value.isNull() | F.is_variant_null(value)
 
 
 def string_at(value: Column, path: str) -> Column:

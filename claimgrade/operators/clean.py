@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimgrade.config import FACILITY, GradingConfig, RegionRules
-from claimgrade.functions.text import json_array
 
 # raw column -> entity column, for the columns that are only carried over
 CARRIED = {
@@ -71,43 +70,44 @@ def remap(c: Column, mapping: dict[str, str]) -> Column:
     return out
 
 
-def source_count(raw: Column, parsed: Column) -> Column:
-    """0 without a source list, NULL when the list cannot be read."""
-    return F.when(raw.isNull(), F.lit(0)).when(parsed.isNotNull(), F.size(parsed))
+# 0 without a source list, NULL when the list cannot be read
+SOURCE_COUNT = "CASE WHEN source_urls IS NULL THEN 0 ELSE size(from_json(source_urls, 'array<string>')) END"
 
 
 def _joined(*columns: str) -> Column:
-    return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
+    parts = ", ".join(f"coalesce({c}, '')" for c in columns)
+    return F.expr(f"lower(concat_ws(' ', {parts}))")
 
 
 def text_channels(df: DataFrame) -> DataFrame:
     """Lower-case text to match against, built from the raw JSON text as it stands."""
-    return df.withColumns(
-        {
-            "spec_eq_text": _joined("specialties", "equipment"),
-            "claim_text": _joined("capability"),
-            "prose_text": _joined("description", "procedure"),
-            "full_text": _joined("capability", "specialties", "procedure", "equipment", "description"),
-        }
+    return df.select(
+        "*",
+        _joined("specialties", "equipment").alias("spec_eq_text"),
+        _joined("capability").alias("claim_text"),
+        _joined("description", "procedure").alias("prose_text"),
+        _joined("capability", "specialties", "procedure", "equipment", "description").alias("full_text"),
     )
 
 
 def typed(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     """Raw columns -> entity columns, one to one, without text channels."""
-    out = {entity: F.col(source) for source, entity in CARRIED.items()}
-    out |= {entity: json_array(F.col(source)) for source, entity in PARSED_ARRAYS.items()}
-    out |= {
-        "facility_type": remap(F.col("facilityTypeId"), cfg.type_remap),
-        "num_doctors": F.col("numberDoctors").try_cast("int"),
-        "capacity_beds": F.col("capacity").try_cast("int"),
-        "n_source_urls": source_count(F.col("source_urls"), json_array(F.col("source_urls"))),
-        "staff_present": F.col("affiliated_staff_presence") == "true",
-        "logo_present": F.col("custom_logo_presence") == "true",
-        "social_presence_count": F.col("distinct_social_media_presence_count").try_cast("int"),
-        "state_norm": region(F.col("address_stateOrRegion"), cfg.regions),
-        "pincode": F.col("address_zipOrPostcode").try_cast("bigint"),
-    }
-    return raw.select(*[c.alias(n) for n, c in out.items()])
+    plain = [f"{source} AS {entity}" for source, entity in CARRIED.items()]
+    parsed = [f"from_json({source}, 'array<string>') AS {entity}" for source, entity in PARSED_ARRAYS.items()]
+    counts = [
+        "try_cast(numberDoctors AS int) AS num_doctors",
+        "try_cast(capacity AS int) AS capacity_beds",
+        "try_cast(distinct_social_media_presence_count AS int) AS social_presence_count",
+        "try_cast(address_zipOrPostcode AS bigint) AS pincode",
+        "affiliated_staff_presence = 'true' AS staff_present",
+        "custom_logo_presence = 'true' AS logo_present",
+        f"{SOURCE_COUNT} AS n_source_urls",
+    ]
+    return raw.select(
+        *[F.expr(e) for e in (*plain, *parsed, *counts)],
+        remap(F.col("facilityTypeId"), cfg.type_remap).alias("facility_type"),
+        region(F.col("address_stateOrRegion"), cfg.regions).alias("state_norm"),
+    )
 
 
 def first_per(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -134,9 +134,7 @@ def dedupe_richest(valid_raw: DataFrame) -> DataFrame:
     Works on raw rows with the source count added, so that nothing derived from
     the text goes through the two shuffles. The result is partitioned by id.
     """
-    counted = valid_raw.withColumn(
-        "n_source_urls", source_count(F.col("source_urls"), json_array(F.col("source_urls")))
-    )
+    counted = valid_raw.withColumn("n_source_urls", F.expr(SOURCE_COUNT))
     clusters = first_per(counted, [F.coalesce("cluster_id", "unique_id")], _richest())
     return first_per(clusters, [F.col("unique_id")], _richest())
 
@@ -164,9 +162,7 @@ def quarantine(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
 
 
 def _duplicate_ids(raw: DataFrame, cfg: GradingConfig) -> DataFrame:
-    counted = raw.where(is_valid(cfg)).withColumn(
-        "n_source_urls", source_count(F.col("source_urls"), json_array(F.col("source_urls")))
-    )
+    counted = raw.where(is_valid(cfg)).withColumn("n_source_urls", F.expr(SOURCE_COUNT))
     clusters = first_per(counted, [F.coalesce("cluster_id", "unique_id")], _richest())
     # Two ranks, so that an id shared by very many clusters is not ranked in one task:
     # first within a salt, then among the at most SALTS heads of those groups.

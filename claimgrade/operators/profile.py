@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrade.config import FACILITY, GradingConfig
+from claimgrade.config import FACILITY, CapabilityTerms, GradingConfig
 from claimgrade.functions.text import contains_any, json_array
 from claimgrade.operators.clean import region, remap
 from claimgrade.operators.geo import lookup
@@ -122,9 +122,9 @@ def join_quality(
     )
 
 
-def _mentions(text: Column, terms) -> Column:
+def _mentions(column: str, terms: CapabilityTerms) -> str:
     every = dict.fromkeys([*terms.structured, *terms.structured_prefix, *terms.claim, *terms.prose])
-    return contains_any(text, every)
+    return contains_any(column, every)
 
 
 def capability_by_type(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
@@ -137,7 +137,7 @@ def capability_by_type(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFra
         "facility_type",
         F.explode(
             F.array_compact(
-                F.array(*[F.when(_mentions(F.col("t"), t), F.lit(t.capability)) for t in cfg.lexicon])
+                F.array(*[F.when(F.expr(_mentions("t", t)), F.lit(t.capability)) for t in cfg.lexicon])
             )
         ).alias("capability"),
     )
@@ -170,7 +170,7 @@ def vocabulary(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     """Distinct phrases per list column, and how many mention a known capability."""
     known = [t for terms in cfg.lexicon for t in (*terms.structured, *terms.claim, *terms.prose)]
     phrases = _phrases(raw, VOCABULARY_COLUMNS)
-    hit = contains_any(F.col("phrase"), dict.fromkeys(known))
+    hit = F.expr(contains_any("phrase", dict.fromkeys(known)))
     return phrases.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("distinct_phrases"),
         F.sum("n").alias("mentions"),

@@ -8,6 +8,7 @@ results can be compared with those of another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,43 +41,71 @@ def query(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
     return fn
 
 
+def stage(method: Callable[..., object]) -> Callable[..., object]:
+    """Keep the frame of a stage, so that it is composed once per query."""
+
+    @wraps(method)
+    def kept(self: Stages, *args: object) -> object:
+        key = (method.__name__, *args)
+        if key not in self.made:
+            self.made[key] = method(self, *args)
+        return self.made[key]
+
+    return kept
+
+
 class Stages:
-    """The stages of one query run, composed lazily from the raw tables."""
+    """The stages of one query run, composed lazily from the raw tables.
+
+    A stage used twice in a query is the same frame both times, so that Spark can
+    reuse its shuffles.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.made: dict[tuple, object] = {}
 
+    @stage
     def raw(self, name: str = "raw_facilities") -> DataFrame:
         return testdata.load(self.spark, self.sf_dir, name)
 
+    @stage
     def entities(self) -> DataFrame:
         return clean.entities(self.raw())
 
+    @stage
     def bridge(self) -> tuple[DataFrame, bool]:
         """The bridge, and whether it is small: it has no more rows than its source."""
         directory = self.raw("raw_pincode_directory")
         return reference_data.bridge(directory), at_most(directory, BROADCAST_ROWS)
 
+    @stage
     def profiles(self) -> DataFrame:
         bridge, small = self.bridge()
         return geo.resolve(self.entities(), bridge, small)
 
+    @stage
     def graded(self) -> DataFrame:
         return grading.grade(self.profiles(), as_of=testdata.AS_OF)
 
+    @stage
     def fingerprinted(self) -> DataFrame:
         return review_inputs.with_fingerprint(self.graded())
 
+    @stage
     def inputs(self) -> DataFrame:
         return review_inputs.inputs(self.graded(), testdata.SNAPSHOT_TS)
 
+    @stage
     def reviews(self) -> DataFrame:
         return testdata.reviews(self.raw("responses"), self.fingerprinted())
 
+    @stage
     def reviewed(self) -> DataFrame:
         return signals.attach(self.fingerprinted(), self.reviews())
 
+    @stage
     def mart(self) -> DataFrame:
         return mart.final(self.reviewed())
 
@@ -107,6 +136,7 @@ class Stages:
     def parsed(self, batch: bool) -> DataFrame:
         return parse.parse(self.answers(batch), batch)
 
+    @stage
     def effective(self) -> DataFrame:
         return overrides.effective(self.mart(), overrides.state(self.raw("override_events")))
 
@@ -236,7 +266,7 @@ def evidence_hits(s: Stages) -> DataFrame:
 def screening_only(s: Stages) -> DataFrame:
     capped = next(t for t in FACILITY.lexicon if t.caps_screening)
     return clean.text_channels(s.raw()).select(
-        "source_content_id", evidence.screening_only(capped, F.col("full_text")).alias("screening_only")
+        "source_content_id", F.expr(evidence.screening_only(capped)).alias("screening_only")
     )
 
 
@@ -338,7 +368,7 @@ def review_fingerprint(s: Stages) -> DataFrame:
 @query
 def review_inputs_table(s: Stages) -> DataFrame:
     skipped = ("heuristic_evidence_json", "llm_input_json", "input_snapshot_ts")
-    lists = [n for n, t in s.inputs().dtypes if t.startswith("array")]
+    lists = ("citation_urls", "source_types_arr", *(f"{c}_arr" for c in ("capability", "specialties", "procedure", "equipment")))
     columns = [c for c in review_inputs.INPUT_COLUMNS if c not in skipped]
     return s.inputs().select(
         at_second("input_snapshot_ts"), *[joined(c) if c in lists else F.col(c) for c in columns]
@@ -423,13 +453,9 @@ BATCH_PATHS = (
 )
 
 
-def _batches(s: Stages) -> DataFrame:
-    return pending.batches(s.pending(), s.profiles())
-
-
 @query
 def review_batches(s: Stages) -> DataFrame:
-    return _batches(s).select(
+    return pending.batches(s.pending(), s.profiles()).select(
         "unique_id", F.size("requested").alias("n_requested"), *fields("llm_input_json", *BATCH_PATHS)
     )
 
@@ -437,8 +463,9 @@ def review_batches(s: Stages) -> DataFrame:
 @query
 def review_prompts(s: Stages) -> DataFrame:
     """Prompts of both modes, with the payload taken out again."""
-    by_entity = prompts.render(_batches(s), batch=True)
-    by_row = prompts.render(pending.single_requests(s.pending()), batch=False)
+    rows = s.pending()
+    by_entity = prompts.render(pending.batches(rows, s.profiles()), batch=True)
+    by_row = prompts.render(pending.single_requests(rows), batch=False)
 
     def shown(df: DataFrame, mode: str) -> DataFrame:
         return df.select(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrade.functions.text import EMPTY_JSON_ARRAY
+from claimgrade.functions.text import EMPTY_JSON_ARRAY, quote
 
 # The parts of the evidence fingerprint, in order. Every part is its
 # text form, or the empty text where it is NULL; lists are JSON text.
@@ -112,10 +112,10 @@ INPUT_COLUMNS = (
 )
 
 
-def _part(name: str) -> Column:
+def _part(name: str) -> str:
     if name in FINGERPRINT_LISTS:
-        return F.coalesce(F.to_json(name), F.lit(EMPTY_JSON_ARRAY))
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return f"coalesce(to_json({name}), {quote(EMPTY_JSON_ARRAY)})"
+    return f"coalesce(cast({name} AS string), '')"
 
 
 def fingerprint(evidence_only: bool = False) -> Column:
@@ -125,7 +125,8 @@ def fingerprint(evidence_only: bool = False) -> Column:
     review does not go stale by the passing of time alone.
     """
     parts = [p for p in FINGERPRINT_PARTS if not (evidence_only and p in DERIVED_PARTS)]
-    return F.sha2(F.concat_ws(FINGERPRINT_SEPARATOR, *[_part(p) for p in parts]), 256)
+    text = ", ".join(_part(p) for p in parts)
+    return F.expr(f"sha2(concat_ws({quote(FINGERPRINT_SEPARATOR)}, {text}), 256)")
 
 
 def with_fingerprint(graded: DataFrame, evidence_only: bool = False) -> DataFrame:
@@ -136,65 +137,71 @@ def snapshot(ts: datetime | str | None) -> Column:
     return F.current_timestamp() if ts is None else F.lit(str(ts)).cast("timestamp")
 
 
-def _payload() -> Column:
-    def block(*columns: str, **renamed: str) -> Column:
-        return F.struct(*[F.col(c) for c in columns], *[F.col(c).alias(n) for n, c in renamed.items()])
-
-    facility = block(
-        "unique_id",
-        "name",
-        "facility_type",
-        "operator_type",
-        "district_norm",
-        "state_name",
-        "address_city",
-        "pincode",
-        "latitude",
-        "longitude",
-        "num_doctors",
-        "capacity_beds",
-    )
-    assessment = block(
-        "tier",
-        "score",
-        "explanation",
-        "structured_hit",
-        "claim_hit",
-        "prose_hit",
-        "screening_only",
-        "well_corroborated",
-        "implausible",
-    )
-    source = block(
-        capability_claims="capability_arr",
-        specialties="specialties_arr",
-        procedures="procedure_arr",
-        equipment="equipment_arr",
-        description="description_raw",
-        claim_text="claim_text",
-        prose_text="prose_text",
-        full_text="full_text",
-        citation_urls="citation_urls",
-        source_types="source_types_arr",
-        n_source_urls="n_source_urls",
-        official_website="official_website",
-        staff_present="staff_present",
-        source_content_id="source_content_id",
-    )
-    audit = F.struct(
-        F.col("input_snapshot_ts").cast("string").alias("input_snapshot_ts"),
-        F.col("evidence_fingerprint"),
-    )
-    return F.to_json(
-        F.struct(
-            facility.alias("facility"),
-            F.col("capability"),
-            assessment.alias("heuristic_assessment"),
-            source.alias("source_evidence"),
-            audit.alias("audit"),
-            F.array(*[F.lit(n) for n in NOTES]).alias("notes"),
+# The payload, field -> column, in order
+PAYLOAD = {
+    "facility": {
+        c: c
+        for c in (
+            "unique_id",
+            "name",
+            "facility_type",
+            "operator_type",
+            "district_norm",
+            "state_name",
+            "address_city",
+            "pincode",
+            "latitude",
+            "longitude",
+            "num_doctors",
+            "capacity_beds",
         )
-    )
+    },
+    "capability": "capability",
+    "heuristic_assessment": {
+        c: c
+        for c in (
+            "tier",
+            "score",
+            "explanation",
+            "structured_hit",
+            "claim_hit",
+            "prose_hit",
+            "screening_only",
+            "well_corroborated",
+            "implausible",
+        )
+    },
+    "source_evidence": {
+        "capability_claims": "capability_arr",
+        "specialties": "specialties_arr",
+        "procedures": "procedure_arr",
+        "equipment": "equipment_arr",
+        "description": "description_raw",
+        "claim_text": "claim_text",
+        "prose_text": "prose_text",
+        "full_text": "full_text",
+        "citation_urls": "citation_urls",
+        "source_types": "source_types_arr",
+        "n_source_urls": "n_source_urls",
+        "official_website": "official_website",
+        "staff_present": "staff_present",
+        "source_content_id": "source_content_id",
+    },
+    "audit": {
+        "input_snapshot_ts": "cast(input_snapshot_ts AS string)",
+        "evidence_fingerprint": "evidence_fingerprint",
+    },
+    "notes": f"array({', '.join(quote(n) for n in NOTES)})",
+}
+
+
+def _struct(fields: dict[str, str | dict[str, str]]) -> str:
+    inner = (f"{_struct(c) if isinstance(c, dict) else c} AS {name}" for name, c in fields.items())
+    return f"struct({', '.join(inner)})"
+
+
+def _payload() -> Column:
+    return F.expr(f"to_json({_struct(PAYLOAD)})")
 
 
 def inputs(
