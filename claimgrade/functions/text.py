@@ -34,9 +34,16 @@ def blank_to_null(c: Column) -> Column:
     return F.when(c.rlike(r"\S"), c)
 
 
+# The characters that count as white space at the ends of a text
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def null_literal_to_null(c: Column, literals: Iterable[str] = ("", "null")) -> Column:

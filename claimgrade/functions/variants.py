@@ -40,23 +40,6 @@ def is_string(value: Column) -> Column:
     return F.coalesce(kind(value) == "STRING", F.lit(False))
 
 
-def is_boolean(value: Column) -> Column:
-    return F.coalesce(kind(value) == "BOOLEAN", F.lit(False))
-
-
-def is_number(value: Column) -> Column:
-    k = kind(value)
-    return F.coalesce(
-        k.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT") | k.startswith("DECIMAL"),
-        F.lit(False),
-    )
-
-
-def is_missing(value: Column) -> Column:
-    """Absent, or a JSON null."""
-    return value.isNull() | F.is_variant_null(value)
-
-
 def string_at(value: Column, path: str) -> Column:
     """The string at ``path``; NULL when there is none or it is of another type."""
     found = at(value, path)

@@ -125,30 +125,10 @@ def extract_object(texts: DataFrame) -> DataFrame:
 # --- records -----------------------------------------------------------------
 
 
-def _boolean(value: Column) -> Column:
-    text = F.lower(F.try_variant_get(value, "$", "string"))
-    number = F.try_variant_get(value, "$", "double")
-    return (
-        F.when(v.is_boolean(value), F.try_variant_get(value, "$", "boolean"))
-        .when(v.is_number(value) & number.isin(0.0, 1.0), number == 1.0)
-        .when(v.is_string(value) & text.isin(*TRUE_TEXTS), F.lit(True))
-        .when(v.is_string(value) & text.isin(*FALSE_TEXTS), F.lit(False))
-    )
-
-
-def _number(value: Column) -> Column:
-    text = strip(F.try_variant_get(value, "$", "string"))
-    return (
-        F.when(v.is_number(value), F.try_variant_get(value, "$", "double"))
-        .when(v.is_boolean(value), F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
-        .when(v.is_string(value) & text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    )
-
-
-def _snippets(value: Column) -> Column:
-    texts = F.transform(v.array_at(value, "$"), lambda s: F.try_variant_get(s, "$", "string"))
-    kept = F.filter(F.transform(texts, strip), lambda s: s != "")
-    return F.slice(kept, 1, MAX_SNIPPETS)
+_TEXTS = "struct<" + ", ".join(
+    f"{f}: {'variant' if f == 'supporting_snippets' else 'string'}" for f in (*SIGNAL_FIELDS, "capability")
+) + ">"
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
 def signal(record: Column) -> Column:
@@ -156,72 +136,101 @@ def signal(record: Column) -> Column:
 
     Null or absent is allowed everywhere but in the snippets, which may only be
     absent. Booleans and numbers may be written as text. Unknown keys are refused.
-    """
-
-    def flag(value: Column) -> Column:
-        return let(
-            _boolean(value),
-            lambda b: F.struct(b.alias("value"), (v.is_missing(value) | b.isNotNull()).alias("ok")),
-        )
 
-    def label(value: Column) -> Column:
-        text = F.when(v.is_string(value), F.try_variant_get(value, "$", "string"))
-        return let(
-            text,
-            lambda t: F.struct(
-                t.alias("value"),
-                (v.is_missing(value) | F.coalesce(t.isin(*SCOPES), F.lit(False))).alias("ok"),
-            ),
-        )
+    The JSON types are taken from one description of the whole record and the values
+    from one conversion of it. A description of something nested can be mistaken for
+    one of a field, but no field may hold anything nested, so that is refused anyway.
+    """
+    read = F.struct(
+        v.kind(record).alias("kinds"),
+        F.try_variant_get(record, "$", _TEXTS).alias("texts"),
+        v.keys(record).alias("keys"),
+    )
 
-    def snippets(value: Column) -> Column:
-        strings = v.is_array(value) & F.coalesce(F.forall(v.array_at(value, "$"), v.is_string), F.lit(False))
+    def typed(r: Column) -> Column:
+        kinds = [F.regexp_extract(r["kinds"], rf"\b{f}: ([A-Z]+)", 1).alias(f) for f in (*SIGNAL_FIELDS, "capability")]
         return F.struct(
-            F.coalesce(_snippets(value), F.array().cast("array<string>")).alias("value"),
-            (value.isNull() | strings).alias("ok"),
+            F.struct(*kinds).alias("kind"),
+            r["texts"].alias("text"),
+            F.try_variant_get(r["texts"]["supporting_snippets"], "$", "array<string>").alias("snippets"),
+            r["kinds"].rlike(r"\bsupporting_snippets: ARRAY<(STRING|VOID)>").alias("strings"),
+            r["keys"].alias("keys"),
         )
 
-    def share(value: Column) -> Column:
-        return let(
-            _number(value),
-            lambda n: F.struct(
-                n.alias("value"),
-                (v.is_missing(value) | F.coalesce(n.between(0.0, 1.0), F.lit(False))).alias("ok"),
-            ),
+    def valued(r: Column) -> Column:
+        kind, text = r["kind"], r["text"]
+        values = {f: _boolean(kind[f], text[f]) for f in BOOLEAN_FIELDS}
+        values["capability_scope"] = F.when(
+            (kind["capability_scope"] == "STRING") & text["capability_scope"].isin(*SCOPES), text["capability_scope"]
         )
-
-    def words(value: Column) -> Column:
+        snippets = F.filter(F.transform(r["snippets"], strip), lambda t: t != "")
+        values["supporting_snippets"] = F.coalesce(
+            F.slice(snippets, 1, MAX_SNIPPETS), F.array().cast("array<string>")
+        )
+        values["confidence"] = _share(kind["confidence"], text["confidence"])
+        values["reasoning"] = F.when(kind["reasoning"] == "STRING", text["reasoning"])
+        named = F.when(kind["capability"] == "STRING", text["capability"])
         return F.struct(
-            F.when(v.is_string(value), F.try_variant_get(value, "$", "string")).alias("value"),
-            (v.is_missing(value) | v.is_string(value)).alias("ok"),
+            *[c.alias(f) for f, c in values.items()],
+            named.alias("named"),
+            F.array_contains(r["keys"], F.lit("capability")).alias("has_name"),
+            kind.alias("kind"),
+            r["keys"].alias("keys"),
+            (r["strings"] & ~F.exists(r["snippets"], F.isnull)).alias("strings"),
         )
 
-    readers = dict(zip(SIGNAL_FIELDS, (flag, flag, flag, label, snippets, share, words), strict=True))
-    read = F.struct(*[let(v.at(record, f"$.{f}"), reader).alias(f) for f, reader in readers.items()])
-    allowed = F.array(*[F.lit(f) for f in (*SIGNAL_FIELDS, "capability")])
-    unknown = F.array_join(F.array_except(v.keys(record), allowed), ", ")
+    known = F.array(*[F.lit(f) for f in (*SIGNAL_FIELDS, "capability")])
 
-    def judged(fields: Column) -> Column:
+    def judged(r: Column) -> Column:
+        checks = {
+            f: r["kind"][f].isin("", "VOID") | r[f].isNotNull() for f in SIGNAL_FIELDS if f != "supporting_snippets"
+        }
+        checks["supporting_snippets"] = (r["kind"]["supporting_snippets"] == "") | F.coalesce(
+            r["strings"], F.lit(False)
+        )
+        unknown = F.array_join(F.array_except(r["keys"], known), ", ")
         problem = F.concat_ws(
             "; ",
-            F.when(~v.is_object(record), F.lit("not an object")),
+            F.when(r["keys"].isNull(), "not an object"),
             F.concat(F.lit("unknown keys: "), _non_empty(unknown)),
-            *[F.when(~fields[f]["ok"], F.lit(f"bad {f}")) for f in SIGNAL_FIELDS],
+            *[F.when(~checks[f], F.lit(f"bad {f}")) for f in SIGNAL_FIELDS],
         )
         return F.struct(
-            *[fields[f]["value"].alias(f) for f in SIGNAL_FIELDS],
-            v.at(record, "$.capability").alias("named"),
+            *[r[f].alias(f) for f in SIGNAL_FIELDS],
+            r["named"].alias("named"),
+            r["has_name"].alias("has_name"),
             _non_empty(problem).alias("problem"),
         )
 
-    return let(read, judged)
+    return let(let(let(read, typed), valued), judged)
+
+
+def _boolean(kind: Column, text: Column) -> Column:
+    as_text = F.lower(text)
+    number = text.try_cast("double")
+    return (
+        F.when(kind == "BOOLEAN", text == "true")
+        .when(kind.isin(*_NUMBERS) & number.isin(0.0, 1.0), number == 1.0)
+        .when((kind == "STRING") & as_text.isin(*TRUE_TEXTS), F.lit(True))
+        .when((kind == "STRING") & as_text.isin(*FALSE_TEXTS), F.lit(False))
+    )
+
+
+def _share(kind: Column, text: Column) -> Column:
+    """A number from 0 to 1, also written as text or as a boolean; else NULL."""
+    number = (
+        F.when(kind == "BOOLEAN", F.when(text == "true", F.lit(1.0)).otherwise(F.lit(0.0)))
+        .when(kind.isin(*_NUMBERS), text.try_cast("double"))
+        .when((kind == "STRING") & F.trim(text).rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
+    )
+    return let(number, lambda n: F.when(n.between(0.0, 1.0), n))
 
 
 def validate_single(objects: DataFrame) -> DataFrame:
     """One record per answer: add ``records`` (one struct per requested capability)."""
     checked = compute(objects, _signal=F.when(F.col("error").isNull(), signal(F.col("payload"))))
     # a single record has no place for a capability name
-    extra = F.when(F.col("_signal.named").isNotNull(), F.lit("unknown keys: capability"))
+    extra = F.when(F.col("_signal.has_name"), F.lit("unknown keys: capability"))
     problem = _non_empty(F.concat_ws("; ", F.col("_signal.problem"), extra))
     record = F.struct(
         F.get("capabilities", F.lit(0)).alias("capability"), *[F.col(f"_signal.{f}") for f in SIGNAL_FIELDS]
@@ -244,11 +253,9 @@ def validate_batch(objects: DataFrame) -> DataFrame:
         return let(
             signal(item),
             lambda s: F.struct(
-                F.when(v.is_string(s["named"]), F.lower(strip(F.try_variant_get(s["named"], "$", "string")))).alias(
-                    "key"
-                ),
+                F.lower(strip(s["named"])).alias("key"),
                 F.coalesce(
-                    s["problem"], F.when(~v.is_string(s["named"]), F.lit("a result without capability"))
+                    s["problem"], F.when(s["named"].isNull(), F.lit("a result without capability"))
                 ).alias("problem"),
                 F.struct(*[s[f].alias(f) for f in SIGNAL_FIELDS]).alias("record"),
             ),

@@ -305,10 +305,15 @@ SOURCES = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw table over the generated tables in ``sf_dir``."""
+def load(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A raw table over the generated tables in ``sf_dir``.
+
+    ``spread_by`` moves the few source columns to all tasks before the texts are made.
+    """
     text, table = SOURCES[name]
     source = spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    if spread_by is not None:
+        source = source.repartition(spread_by)
     quoted = text.replace("{", "{{").replace("}", "}}").replace(f"@{table}", "{source}")
     return spark.sql(quoted, source=source)
 
