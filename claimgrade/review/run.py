@@ -63,12 +63,12 @@ def run(
         asked = open_requests.withColumn(
             "request_id", F.concat("base_id", F.lit(f":attempt{attempt}"))
         )
-        first = parse.parse(call(asked, reviewer), batch)
+        first = materialise(parse.parse(call(asked, reviewer), batch), "parsed")
         done.append(first.where("error IS NULL"))
         failed = first.where("error IS NOT NULL")
         if failed.isEmpty():
             return _union(done)
-        second = _repair(failed, reviewer, batch)
+        second = materialise(_repair(failed, reviewer, batch), "repaired")
         done.append(second.where("error IS NULL"))
         failed = second.where("error IS NOT NULL")
         if attempt == rounds or failed.isEmpty():

@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # data already partitioned by unique_id is not moved again for (unique_id, capability)
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # the virtual machine does not compile methods above this size, and long rule chains
+    # make such methods: let Spark split them instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # timestamps are written and compared in UTC
     "spark.sql.session.timeZone": "UTC",
     # JSON answers that repeat a key: the last one counts

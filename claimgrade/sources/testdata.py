@@ -313,21 +313,22 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = No
     text, table = SOURCES[name]
     source = spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
     if spread_by is not None:
-        source = source.repartition(spread_by)
+        # a given number, as small data would otherwise be put together again
+        source = source.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     quoted = text.replace("{", "{{").replace("}", "}}").replace(f"@{table}", "{source}")
     return spark.sql(quoted, source=source)
 
 
 def reviews(responses: DataFrame, fingerprints: DataFrame) -> DataFrame:
     """Landing rows: every third review was made on the present evidence."""
-    present = fingerprints.select("unique_id", "capability", F.col("evidence_fingerprint").alias("_now"))
+    key = ["unique_id", "capability"]
+    present = fingerprints.select(*key, F.col("evidence_fingerprint").alias("_now"))
     fresh = F.col("event_id") % 3 == 0
-    return responses.join(present, ["unique_id", "capability"], "left").select(
+    old = F.concat(F.lit("old-"), F.col("event_id").cast("string"))
+    return responses.join(present, key, "left").select(
         "unique_id",
         "capability",
-        F.coalesce(F.when(fresh, F.col("_now")), F.concat(F.lit("old-"), F.col("event_id").cast("string"))).alias(
-            "evidence_fingerprint"
-        ),
+        F.coalesce(F.when(fresh, F.col("_now")), old).alias("evidence_fingerprint"),
         "prompt_version",
         F.lit("m-a").alias("model_name"),
         F.lit(None).cast("string").alias("model_version"),

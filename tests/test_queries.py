@@ -56,11 +56,20 @@ def test_attaching_reviews_does_not_move_graded_rows(spark, graded_frame):
     from claimgrade.review import inputs, signals
     from claimgrade.schemas import REVIEWS_RAW
 
-    reviews = spark.createDataFrame([], REVIEWS_RAW).repartition(3)
-    text = plan(signals.attach(inputs.with_fingerprint(graded_frame({})), reviews))
-    graded_side = text[text.index("Join LeftOuter") if "Join LeftOuter" in text else 0 :]
-    assert graded_side.count("hashpartitioning") == 0  # names only; details follow later
-    assert text.count("Exchange") <= 6
+    row = dict.fromkeys(REVIEWS_RAW.names) | {"unique_id": "id0", "capability": "icu"}
+    reviews = spark.createDataFrame([tuple(row.values())], REVIEWS_RAW)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(signals.attach(inputs.with_fingerprint(graded_frame({})), reviews))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin LeftOuter" in text
+    graded, reviewed = text.split("SortMergeJoin")[1].rsplit(":- Scan", 1)[0], text
+    # entities: by cluster and by id; reviews: by key, then the one row per key by id
+    assert len([line for line in reviewed.splitlines() if "- Exchange" in line]) == 4
+    # nothing moves between the expansion and the join
+    assert "Exchange" not in graded[: graded.index("Generate")]
 
 
 def test_ranking_keeps_only_the_top(spark):
