@@ -25,6 +25,9 @@ SETTINGS = {
 # Rows up to which a lookup side may be broadcast once it has been counted.
 BROADCAST_ROWS = 200_000
 
+# temporary folders of local sessions, by application
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -51,9 +54,10 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="claimgrade-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="claimgrade-")
+        return _LOCAL_FOLDERS[application]
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
