@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgrade.llm import bpe, chunks, language, mixing, simhash
+from claimgrade.llm import bpe, chunks, language, mixing, quality, simhash, substring, vectors
 from claimgrade.llm.common import table
 
 
@@ -36,6 +36,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.groups(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out("doc_id", 5, 0))
+    labels = table(spark, sf_dir, "labels").where(~language.held_out("doc_id", 5, 0))
+    model = quality.fit(quality.sample(docs, labels))
+    return quality.score(docs, model, keep=["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,6 +61,9 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_substring": op6_substring,
+    "op7_quality": op7_quality,
+    "op8_vectors": op8_vectors,
     "op10_simhash": op10_simhash,
 }
 
