@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgrade.llm import bpe, chunks, language, mixing, quality, simhash, substring, vectors
+from claimgrade.llm import bpe, chunks, language, mixing, quality, secrets, simhash, substring, urls, vectors
 from claimgrade.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.groups(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -51,6 +56,25 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+RULES = [
+    urls.Rule("net", "/", "block"),
+    urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"),
+    urls.Rule("org", "/fr/", "allow"),
+]
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the number in a page's path is the id of the document it shows: a label of the document, low
+    # quality or toxic, labels the URL
+    number = F.regexp_extract("url", r"/([0-9]{1,18})(?=\D*([?#]|$))", 1)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", number.try_cast("long").alias("number"))
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("number")).agg(F.max(bad.cast("int")).alias("bad"))
+    judged = urls.judge(pages.join(labels, "number", "left"), "url", RULES, F.col("bad"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
@@ -60,10 +84,12 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
+    "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring": op6_substring,
     "op7_quality": op7_quality,
     "op8_vectors": op8_vectors,
+    "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
 }
 
