@@ -22,7 +22,6 @@ import functools
 import heapq
 import json
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +34,20 @@ from claimgrade.llm.common import with_arrow_columns
 # characters taken from a text at a time
 PIECE = 1 << 16
 # words whose ids are remembered per Python worker; beyond it the memory starts anew
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+# characters of texts whose new words are merged together
+TOGETHER = 1 << 20
+# bytes of pre-tokens that are merged many at a time, by class
+_WIDTHS = (6, 9, 12, 16, 24, 40)
+# marks that often end a word and are a pre-token of their own after a letter
+_ENDS = frozenset(".,;:!?")
 
 # White space of the pre-tokenizer's pattern (Unicode White_Space).
 _S = r"\t-\r \x85\xa0  -     　"
 _PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+_OTHER = regex.findall(rf"[{_S}]", "".join(map(chr, (*range(0x0A), *range(0x0B, 0x20), *range(0x21, 0x3001)))))
 _PRETOKEN = regex.compile(_PATTERN)
 _ODD_SPACE = regex.compile(rf" [{_S}]")
-_BREAKS = regex.compile(rf" (?=[^{_S}])")
 # what continues a pre-token that was given out in part, by its kind
 _GO_ON = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", rf"[^{_S}\p{{L}}\p{{N}}]+", rf"[{_S}]+(?![^{_S}])|[{_S}]+")]
 
@@ -75,6 +80,10 @@ def lookahead(merges: Iterable[tuple[bytes, bytes]]) -> int:
     return most
 
 
+def _packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
+
+
 class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -98,6 +107,68 @@ class Vocabulary:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         for word, i in self.added.items():
             self.bytes_of[i] = word.encode()
+        self._tables()
+        self.ends = {c: _packed(self.merge(c.encode())) for c in _ENDS}
+        self.split = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+
+    def _tables(self) -> None:
+        """The rules as arrays: sorted pairs, and those of two bytes by byte (256: none)."""
+        pairs = np.array([(a << 32 | b, rank, new) for (a, b), (rank, new) in self.merges.items()], np.int64).reshape(-1, 3)
+        pairs = pairs[np.argsort(pairs[:, 0])]
+        self.none = np.int32(len(pairs))
+        self.keys, self.rank_of = np.r_[pairs[:, 0], -1], np.r_[pairs[:, 1], self.none].astype(np.int32)
+        self.made = np.zeros(len(pairs) + 1, np.int32)
+        self.made[pairs[:, 1]] = pairs[:, 2]
+        self.of_byte = np.array([*(-1 if i is None else i for i in self.byte_ids), -1], np.int32)
+        first, second = np.repeat(self.of_byte, 257), np.tile(self.of_byte, 257)
+        self.of_bytes = self._ranks(first, second).reshape(257, 257)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the rule for each pair of ids; ``none`` where there is no rule."""
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys[:-1], wanted)
+        return np.where((self.keys[at] == wanted) & (left >= 0) & (right >= 0), self.rank_of[at], self.none)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of many pre-tokens, packed: all of a class advance together by one rule a round."""
+        out: list = [None] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        below = 0
+        for width in _WIDTHS:
+            which = np.flatnonzero((sizes > below) & (sizes <= width))
+            below = width
+            if not len(which):
+                continue
+            bytes_ = np.full((len(which), width), 256, np.int16)
+            filled = np.arange(width) < sizes[which][:, None]
+            bytes_[filled] = np.frombuffer(b"".join([words[i] for i in which.tolist()]), np.uint8)
+            ids, rank = self.of_byte[bytes_], self.of_bytes[bytes_[:, :-1], bytes_[:, 1:]]
+            while len(which):
+                at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(which), np.int64)
+                best = rank[np.arange(len(which)), at] if rank.shape[1] else np.full(len(which), self.none)
+                done = best == self.none
+                if done.any():
+                    ended = ids[done]
+                    ends = (4 * (ended >= 0).sum(axis=1)).tolist()
+                    data, size = ended.tobytes(), 4 * ended.shape[1]
+                    for k, (i, end) in enumerate(zip(which[done].tolist(), ends, strict=True)):
+                        out[i] = data[k * size : k * size + end]
+                    go = ~done
+                    which, ids, rank, at, best = which[go], ids[go], rank[go], at[go], best[go]
+                    if not len(which):
+                        break
+                rows, wide = np.arange(len(which)), ids.shape[1]
+                new = self.made[best]
+                ids[rows, at] = new
+                ids = ids[np.arange(wide) != at[:, None] + 1].reshape(len(rows), wide - 1)
+                rank = rank[np.arange(wide - 1) != at[:, None]].reshape(len(rows), wide - 2)
+                left = np.flatnonzero(at > 0)
+                rank[left, at[left] - 1] = self._ranks(ids[left, at[left] - 1], new[left])
+                right = np.flatnonzero(at < wide - 2)
+                rank[right, at[right]] = self._ranks(new[right], ids[right, at[right] + 1])
+        for i in np.flatnonzero((sizes > below) | (sizes == 0)).tolist():
+            out[i] = _packed(self.merge(words[i]))
+        return out
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token: the lowest rule first, from the left, until none applies."""
@@ -138,14 +209,42 @@ class Vocabulary:
 
 
 class _Words(dict):
-    """Ids of a text between two pre-token borders, remembered for the most recent words."""
-
-    def __init__(self, vocabulary: Vocabulary, prefix: str):
-        self.vocabulary, self.prefix = vocabulary, prefix
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    """Packed ids of the words of a text, remembered for the words met last. A word stands with
+    the space before it, unless it begins with a line feed or is the ``first`` of its text."""
+
+    def __init__(self, vocabulary: Vocabulary, first: bool = False):
+        self.vocabulary, self.first = vocabulary, first
+
+    def _split(self, word: str) -> list[str]:
+        if not self.first and word[:1] != "\n":
+            return [" " + word] if word.isalpha() else _PRETOKEN.findall(" " + word)
+        return _PRETOKEN.findall(word)
+
+    def prepare(self, words: set[str]) -> None:
+        """Remembers the ids of all of these words that are new."""
+        new = [w for w in words.difference(self) if len(w) <= 64]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = [w for w in words if len(w) <= 64]
+        for at in range(0, len(new), REMEMBERED):
+            part = new[at : at + REMEMBERED]
+            plain = [w for w in part if w.isalpha()]
+            self.update(zip(plain, self._spaced(plain), strict=True))
+            ended = [w for w in part if w[-1:] in _ENDS and w[:-1].isalpha()]
+            ends = map(self.vocabulary.ends.__getitem__, [w[-1] for w in ended])
+            self.update(zip(ended, map(bytes.__add__, self._spaced([w[:-1] for w in ended]), ends), strict=True))
+            rest = [w for w in part if not w.isalpha() and not (w[-1:] in _ENDS and w[:-1].isalpha())]
+            split = list(map(self._split, rest))
+            ids = iter(self.vocabulary.merge_many([p.encode() for ps in split for p in ps]))
+            self.update((w, b"".join([next(ids) for _ in pieces])) for w, pieces in zip(rest, split, strict=True))
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters with a space before each."""
+        return self.vocabulary.merge_many((" " + "\0 ".join(words)).encode().split(b"\0")) if words else []
+
+    def __missing__(self, word: str) -> bytes:
         merge = self.vocabulary.merge
-        ids = tuple(chain.from_iterable(merge(p.encode()) for p in _PRETOKEN.findall(self.prefix + word)))
+        ids = b"".join([_packed(merge(p.encode())) for p in self._split(word)])
         if len(word) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -158,11 +257,10 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, words: tuple[_Words, _Words] | None = None, most: int = PIECE):
         self.vocabulary = vocabulary
-        self.first, self.spaced = words or (_Words(vocabulary, ""), _Words(vocabulary, " "))
+        self.first, self.words = words or (_Words(vocabulary, True), _Words(vocabulary))
         self.window = max(4 * vocabulary.lookahead, 4096)
         self.most = max(most, 2 * self.window)
         self.hold = max(map(len, vocabulary.added), default=1) - 1
-        self.split = regex.compile("|".join(map(regex.escape, sorted(vocabulary.added, key=len, reverse=True)))) if vocabulary.added else None
         self.text = ""
         self._forget()
 
@@ -170,19 +268,17 @@ class Encoder:
         """No pre-token is open: ``bytes`` of it still wait, and its ``kind`` is unknown."""
         self.bytes, self.kind = b"", None
 
-    def _whole(self, text: str) -> list[int]:
+    def _whole(self, text: str) -> bytes:
         """Ids of a text that begins and ends at pre-token borders."""
-        if not text:
-            return []
-        if _ODD_SPACE.search(text) or text[0] == " " or text[-1] == " ":
-            units = _BREAKS.split(text)
-        else:
-            units = text.split(" ")
-        ids = list(self.first[units[0]]) if units[0] else []
-        ids.extend(chain.from_iterable(map(self.spaced.__getitem__, units[1:])))
-        return ids
+        words = text.replace("\n", " \n").split(" ")
+        first, rest = words[0], words[1:]
+        # single spaces and line feeds between words, no other white space
+        if "" not in rest and "\n" not in rest and not any(c in text for c in _OTHER):
+            return self.first[first] + b"".join(map(self.words.__getitem__, rest))
+        merge = self.vocabulary.merge
+        return b"".join([_packed(merge(p.encode())) if len(p) > 64 else self.first[p] for p in _PRETOKEN.findall(text)])
 
-    def _long(self, last: bool) -> list[int]:
+    def _long(self, last: bool) -> bytes:
         """Ids from a text without a safe border; unless ``last``, what may change is kept."""
         out, text, merge = [], self.text, self.vocabulary.merge
         # an added token may begin in the last ``hold`` characters; three more decide contractions
@@ -219,9 +315,9 @@ class Encoder:
                 self.bytes = self.bytes[size:]
             break
         self.text = text[at:]
-        return out
+        return _packed(out)
 
-    def _part(self, last: bool) -> list[int]:
+    def _part(self, last: bool) -> bytes:
         if self.kind is not None or (len(self.text) > self.most and " " not in self.text):
             out = self._long(last)
             if self.kind is not None or last:
@@ -235,22 +331,22 @@ class Encoder:
             if not _ODD_SPACE.match(self.text, cut):
                 out, self.text = self._whole(self.text[:cut]), self.text[cut:]
                 return out
-        return self._long(False) if len(self.text) > self.most else []
+        return self._long(False) if len(self.text) > self.most else b""
 
-    def feed(self, piece: str) -> list[int]:
-        out: list[int] = []
+    def feed(self, piece: str) -> np.ndarray:
+        out = b""
         self.text += piece
-        while self.split and (found := self.split.search(self.text)):
+        while self.vocabulary.split and (found := self.vocabulary.split.search(self.text)):
             rest, self.text = self.text[found.end() :], self.text[: found.start()]
-            out += [*self._part(True), self.vocabulary.added[found.group()]]
+            out += self._part(True) + _packed([self.vocabulary.added[found.group()]])
             self._forget()
             self.text = rest
-        return out + self._part(False)
+        return np.frombuffer(out + self._part(False), np.int32)
 
-    def finish(self) -> list[int]:
+    def finish(self) -> np.ndarray:
         out = self._part(True)
         self._forget()
-        return out
+        return np.frombuffer(out, np.int32)
 
 
 class Decoder:
@@ -267,7 +363,7 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
-def encode_pieces(pieces: Iterable[str], vocabulary: Vocabulary, words=None) -> Iterator[list[int]]:
+def encode_pieces(pieces: Iterable[str], vocabulary: Vocabulary, words=None) -> Iterator[np.ndarray]:
     encoder = Encoder(vocabulary, words)
     for piece in pieces:
         yield encoder.feed(piece)
@@ -277,7 +373,20 @@ def encode_pieces(pieces: Iterable[str], vocabulary: Vocabulary, words=None) ->
 @functools.lru_cache(maxsize=2)
 def _loaded(path: str) -> tuple[Vocabulary, tuple[_Words, _Words]]:
     vocabulary = Vocabulary(path)
-    return vocabulary, (_Words(vocabulary, ""), _Words(vocabulary, " "))
+    return vocabulary, (_Words(vocabulary, True), _Words(vocabulary))
+
+
+def _batches(column: pa.Array) -> Iterator[list[str]]:
+    """The texts (null: empty) in groups of about ``TOGETHER`` characters."""
+    texts, size = [], 0
+    for value in column:
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -292,14 +401,15 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         def function(column: pa.Array) -> list[pa.Array]:
             sizes, blocks = [0], []
-            for value in column:
-                value, n = value.as_py() or "", 0
-                pieces = (value[i : i + PIECE] for i in range(0, len(value), PIECE))
-                for ids in encode_pieces(pieces, vocabulary, words):
-                    if ids:
-                        blocks.append(np.array(ids, np.int32))
+            for texts in _batches(column):
+                words[1].prepare({w for t in texts for w in t.replace("\n", " \n").split(" ")})
+                for value in texts:
+                    n = 0
+                    pieces = (value[i : i + PIECE] for i in range(0, len(value), PIECE))
+                    for ids in encode_pieces(pieces, vocabulary, words):
+                        blocks.append(ids)
                         n += len(ids)
-                sizes.append(n)
+                    sizes.append(n)
             flat = np.concatenate([*blocks, np.zeros(0, np.int32)])
             return [pa.ListArray.from_arrays(np.cumsum(sizes).astype(np.int32), flat)]
 
