@@ -38,7 +38,7 @@ _KINDS = "uldo"
 _TRANSITIONS = [a + b for a in _KINDS for b in _KINDS if a != b]
 FEATURES = [
     "length", "upper", "lower", "digits", "others", "distinct", "hex", *(f"to_{t}" for t in _TRANSITIONS),
-    "coverage", "in_path", "path_made_up", "named", "assigned", "quoted", "made_up_near", "left_covered", "right_covered",
+    "coverage", "in_path", "path_made_up", "named", "assigned", "quoted", "made_up_near", "left_covered", "right_covered", "issued",
 ]
 
 
@@ -113,6 +113,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "made_up_near": F.lower(F.concat("left", F.lit(" "), c, F.lit(" "), "right")).rlike(rf"\b({MADE_UP})\b"),
         "left_covered": F.col("__left_covered").isNotNull(),
         "right_covered": F.col("__right_covered").isNotNull(),
+        "issued": c.rlike(ISSUED),
     }
     out = full.withColumns({n: F.coalesce(v.cast("double"), F.lit(0.0)) for n, v in made.items()})
     return out.drop("__kinds", "__coverage", "__left_covered", "__right_covered")
