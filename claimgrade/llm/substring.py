@@ -148,8 +148,8 @@ def _matched(width: int):
         order = doc.astype(np.int64) * (int(word.max()) + 1) + word
         index = FMIndex(flat, len(words) + 2, width, order)
         low, high = window_intervals(index, flat, begin, length, width)
-        first = np.where(high > low, order[index.places[low]], order)
-        later = (high > low) & (first < order)
+        later = high > low
+        later[later] = order[index.places[low[later]]] < order[later]
         # runs of later windows, within a segment
         edge = np.diff(np.r_[0, later.astype(np.int8), 0])
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
