@@ -264,6 +264,3 @@ CONTEXT_NOTE_RECENT = (
     "The facility has a recent public update, but that update still does not mention this capability."
 )
 CONTEXT_NOTE_OTHER = "We found no direct evidence for this capability."
-MAX_SNIPPETS = 5
-MAX_CITATIONS = 10
-MAX_BADGES = 24

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimgrade.session import BROADCAST_ROWS, at_most
-
-SALTS = 64
 GEO_COLUMNS = (
     "unique_id",
     "name",
@@ -25,30 +22,25 @@ GEO_COLUMNS = (
 )
 
 
-def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str, small: bool) -> DataFrame:
-    """Left join of facts to a dimension that has one row per key.
+def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Left join of facts to a dimension that has one row per key, the same way at every size.
 
-    ``small`` says that the dimension was counted and may be broadcast: facts then
-    stay where they are. Otherwise both sides are shuffled, with every fact salted
-    by ``spread_by`` and every dimension row repeated once per salt, so that rows
-    without a key, or with a very frequent one, are spread over many tasks.
+    No hint and no count: the optimizer broadcasts a dimension it knows to be small, and
+    otherwise both sides are shuffled and adaptive execution splits a very frequent key.
+    Facts without a key match nothing; a second join column spreads them by ``spread_by``,
+    so that they do not meet in one task.
     """
-    if small:
-        return facts.join(F.broadcast(dimension), key, "left")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated.hint("shuffle_merge"), [key, "_salt"], "left").drop("_salt")
+    spread = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.lit(0))
+    keyed = dimension.withColumn("_spread", F.lit(0).cast("bigint"))
+    return facts.withColumn("_spread", spread).join(keyed, [key, "_spread"], "left").drop("_spread")
 
 
-def resolve(entities: DataFrame, bridge: DataFrame, bridge_is_small: bool | None = None) -> DataFrame:
+def resolve(entities: DataFrame, bridge: DataFrame) -> DataFrame:
     """Entities with district and state; the own region is the fallback for the state.
 
-    Keeps all entity columns. ``bridge_is_small`` may be passed by a caller that has
-    already bounded the bridge; by default it is counted here.
+    Keeps all entity columns.
     """
-    if bridge_is_small is None:
-        bridge_is_small = at_most(bridge, BROADCAST_ROWS)
-    joined = lookup(entities, bridge, "pincode", "unique_id", bridge_is_small)
+    joined = lookup(entities, bridge, "pincode", "unique_id")
     return joined.withColumn("state_name", F.coalesce("state_name", "state_norm"))
 
 

@@ -15,7 +15,6 @@ from claimgrade.config import FACILITY, CapabilityTerms, GradingConfig
 from claimgrade.functions.text import contains_any, json_array
 from claimgrade.operators.clean import region, remap
 from claimgrade.operators.geo import lookup
-from claimgrade.session import BROADCAST_ROWS, at_most
 
 KEY_COLUMNS = {"id": "unique_id", "cluster": "cluster_id", "region": "address_stateOrRegion"}
 SUPPORTS = (25, 50, 100, 250)
@@ -99,18 +98,21 @@ def null_literals(
 
 
 def join_quality(
-    raw: DataFrame, bridge: DataFrame, cfg: GradingConfig = FACILITY, bridge_is_small: bool | None = None
+    raw: DataFrame, bridge: DataFrame, indicators: DataFrame, cfg: GradingConfig = FACILITY
 ) -> DataFrame:
-    """How well postcodes resolve: readable, matched, and state agreeing or not."""
-    if bridge_is_small is None:
-        bridge_is_small = at_most(bridge, BROADCAST_ROWS)
+    """How well postcodes resolve: readable, matched, state agreeing or not, and how many rows
+    reach district indicators through them."""
     rows = raw.select(
         "source_content_id",
         F.col("address_zipOrPostcode").try_cast("bigint").alias("pincode"),
         region(F.col("address_stateOrRegion"), cfg.regions).alias("own_state"),
     )
-    marked = bridge.select("pincode", "state_name", F.lit(True).alias("matched"))
-    joined = lookup(rows, marked, "pincode", "source_content_id", bridge_is_small)
+    # districts are marked in the bridge, which has one row per postcode, not in the facts
+    known = indicators.select("district_norm").distinct().withColumn("indicated", F.lit(True))
+    marked = bridge.join(known, "district_norm", "left").select(
+        "pincode", "state_name", "indicated", F.lit(True).alias("matched")
+    )
+    joined = lookup(rows, marked, "pincode", "source_content_id")
     matched = F.coalesce("matched", F.lit(False))
     agree = F.coalesce(F.lower("own_state") == F.lower("state_name"), F.lit(False))
     return joined.agg(
@@ -119,6 +121,7 @@ def join_quality(
         F.count_if(matched).alias("matched"),
         F.count_if(matched & agree).alias("state_agrees"),
         F.count_if(matched & ~agree).alias("state_differs"),
+        F.count_if(F.coalesce("indicated", F.lit(False))).alias("with_indicators"),
     )
 
 

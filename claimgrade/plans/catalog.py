@@ -27,7 +27,7 @@ from claimgrade.operators import (
 )
 from claimgrade.review import inputs as review_inputs
 from claimgrade.review import parse, pending, prompts, run, signals
-from claimgrade.session import BROADCAST_ROWS, at_most, tune
+from claimgrade.session import tune
 from claimgrade.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,15 +75,16 @@ class Stages:
         return clean.entities(self.raw())
 
     @stage
-    def bridge(self) -> tuple[DataFrame, bool]:
-        """The bridge, and whether it is small: it has no more rows than its source."""
-        directory = self.raw("raw_pincode_directory")
-        return reference_data.bridge(directory), at_most(directory, BROADCAST_ROWS)
+    def bridge(self) -> DataFrame:
+        return reference_data.bridge(self.raw("raw_pincode_directory"))
+
+    @stage
+    def indicators(self) -> DataFrame:
+        return reference_data.indicators(self.raw("raw_district_indicators"))
 
     @stage
     def profiles(self) -> DataFrame:
-        bridge, small = self.bridge()
-        return geo.resolve(self.entities(), bridge, small)
+        return geo.resolve(self.entities(), self.bridge())
 
     @stage
     def graded(self) -> DataFrame:
@@ -147,6 +148,11 @@ def joined(name: str) -> Column:
     return F.array_join(name, SEPARATOR).alias(name)
 
 
+def texts_of(df: DataFrame) -> DataFrame:
+    """Lists joined to texts, all columns in place."""
+    return df.select(*[joined(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes])
+
+
 def at_second(name: str) -> Column:
     return F.date_format(name, TIME).alias(name)
 
@@ -235,7 +241,7 @@ def dedupe_richest(s: Stages) -> DataFrame:
 
 @query
 def clean_indicators(s: Stages) -> DataFrame:
-    return reference_data.indicators(s.raw("raw_district_indicators"))
+    return s.indicators()
 
 
 # --- places and need -----------------------------------------------------------
@@ -253,7 +259,7 @@ def geo_resolve(s: Stages) -> DataFrame:
 
 @query
 def need_index(s: Stages) -> DataFrame:
-    return reference_data.need_index(reference_data.indicators(s.raw("raw_district_indicators")))
+    return reference_data.need_index(s.indicators())
 
 
 # --- evidence and grading --------------------------------------------------------
@@ -266,10 +272,9 @@ def evidence_hits(s: Stages) -> DataFrame:
 
 @query
 def screening_only(s: Stages) -> DataFrame:
-    capped = next(t for t in FACILITY.lexicon if t.caps_screening)
-    return clean.text_channels(s.raw()).select(
-        "source_content_id", F.expr(evidence.screening_only(capped)).alias("screening_only")
-    )
+    capped = [t for t in FACILITY.lexicon if t.screening_any]
+    flags = [F.struct(F.lit(t.capability).alias("capability"), F.expr(evidence.screening_only(t)).alias("screening_only")) for t in capped]
+    return clean.text_channels(s.raw()).select("source_content_id", F.inline(F.array(*flags)))
 
 
 @query
@@ -643,6 +648,12 @@ def evidence_document_final(s: Stages) -> DataFrame:
 # --- serving -------------------------------------------------------------------------
 
 
+# rows of a page of the ranking, as the page asks for
+PAGE = 200
+# lengths a drill-down page shows
+SHOWN = {"max_snippets": 5, "max_citations": 10, "max_badges": 24}
+
+
 @query
 def serve_regions(s: Stages) -> DataFrame:
     return serve.regions(s.mart())
@@ -650,22 +661,27 @@ def serve_regions(s: Stages) -> DataFrame:
 
 @query
 def serve_ranked(s: Stages) -> DataFrame:
+    return serve.ranked(s.mart(), "icu", n=PAGE)
+
+
+@query
+def serve_ranked_all(s: Stages) -> DataFrame:
     return serve.ranked(s.mart(), "icu")
 
 
 @query
 def serve_ranked_region(s: Stages) -> DataFrame:
-    return serve.ranked(s.mart(), "maternity", region="Kerala")
+    return serve.ranked(s.mart(), "maternity", region="Kerala", n=PAGE)
 
 
 @query
 def serve_ranked_tier(s: Stages) -> DataFrame:
-    return serve.ranked(s.mart(), "oncology", tier="weak_suspicious")
+    return serve.ranked(s.mart(), "oncology", tier="weak_suspicious", n=PAGE)
 
 
 @query
 def serve_ranked_sorted(s: Stages) -> DataFrame:
-    return serve.ranked_sorted(s.mart(), "trauma", sort="district_norm", descending=True)
+    return serve.ranked_sorted(s.mart(), "trauma", sort="district_norm", descending=True, n=PAGE)
 
 
 @query
@@ -673,6 +689,11 @@ def serve_detail(s: Stages) -> DataFrame:
     return serve.detail(s.mart(), s.entities()).drop("evidence_json")
 
 
+@query
+def serve_detail_one(s: Stages) -> DataFrame:
+    return serve.detail(s.mart(), s.entities(), unique_id="f96", capability="icu").drop("evidence_json")
+
+
 @query
 def serve_detail_compact(s: Stages) -> DataFrame:
     return serve.detail_compact(s.mart()).drop("evidence_json")
@@ -685,8 +706,17 @@ def serve_summary(s: Stages) -> DataFrame:
 
 @query
 def serve_signals(s: Stages) -> DataFrame:
-    shown = serve.signals(s.mart(), s.entities())
-    return shown.select(*[joined(n) if t.startswith("array") else F.col(n) for n, t in shown.dtypes])
+    return texts_of(serve.signals(s.mart(), s.entities()))
+
+
+@query
+def serve_signals_page(s: Stages) -> DataFrame:
+    return texts_of(serve.signals(s.mart(), s.entities(), **SHOWN))
+
+
+@query
+def serve_signals_one(s: Stages) -> DataFrame:
+    return texts_of(serve.signals(s.mart(), s.entities(), unique_id="f96", capability="icu"))
 
 
 @query
@@ -721,6 +751,11 @@ def profile_top_groups(s: Stages) -> DataFrame:
     return types.unionByName(regions)
 
 
+@query
+def profile_groups(s: Stages) -> DataFrame:
+    return profile.top_groups(s.raw(), "address_stateOrRegion")
+
+
 @query
 def profile_invalid_codes(s: Stages) -> DataFrame:
     return profile.invalid_codes(s.raw())
@@ -738,8 +773,7 @@ def profile_null_literals(s: Stages) -> DataFrame:
 
 @query
 def profile_join_quality(s: Stages) -> DataFrame:
-    bridge, small = s.bridge()
-    return profile.join_quality(s.raw(), bridge, bridge_is_small=small)
+    return profile.join_quality(s.raw(), s.bridge(), s.indicators())
 
 
 @query

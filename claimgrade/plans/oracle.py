@@ -410,7 +410,7 @@ SELECT
   TRY_CAST(answer ->> '$.confidence' AS DOUBLE) AS confidence,
   answer ->> '$.reasoning' AS reasoning,
   array_to_string(list_filter(list_transform(json_extract(answer, '$.supporting_snippets[*]'), lambda j: trim(j ->> '$')),
-    lambda t: t <> '')[1:5], '|') AS supporting_snippets
+    lambda t: t <> ''), '|') AS supporting_snippets
 FROM answers
 """
 _CAPS = _list(FACILITY.capabilities)
@@ -554,9 +554,8 @@ FROM indicators
 _oracle("evidence_hits", f"SELECT {_IDS}, structured_hit, claim_hit, prose_hit, screening_only FROM hits")
 _oracle(
     "screening_only",
-    "SELECT source_content_id, regexp_matches(full_text, 'cancer|tumou?r')"
-    " AND NOT regexp_matches(full_text, 'oncolog|(chemo|radio)therap|cancer treatment|tumor board') AS screening_only"
-    " FROM typed",
+    f"SELECT source_content_id, l.capability, {_found('full_text', 'l.disease')} AND NOT {_found('full_text', 'l.treatment')}"
+    " AS screening_only FROM typed, lexicon l WHERE len(l.disease) > 0",
 )
 _oracle(
     "plausibility",
@@ -799,14 +798,15 @@ _oracle(
 _RANKED = "unique_id, name, facility_type, district_norm, state_name, tier, score, n_source_urls"
 
 
-def _ranked(where: str) -> str:
+def _ranked(where: str, limit: str = " LIMIT 200") -> str:
     return (
         f"SELECT {_RANKED} FROM mart WHERE {where}"
-        " ORDER BY list_position(['strong', 'partial', 'weak_suspicious', 'no_claim'], tier), score DESC, unique_id LIMIT 200"
+        " ORDER BY list_position(['strong', 'partial', 'weak_suspicious', 'no_claim'], tier), score DESC, unique_id" + limit
     )
 
 
-_oracle("serve_regions", "SELECT state_name FROM mart WHERE state_name <> '' GROUP BY state_name ORDER BY state_name")
+_oracle("serve_regions", "SELECT state_name, count(*) AS n_rows FROM mart WHERE state_name <> '' GROUP BY state_name")
+_oracle("serve_ranked_all", _ranked("capability = 'icu' AND tier <> 'no_claim'", ""))
 _oracle("serve_ranked", _ranked("capability = 'icu' AND tier <> 'no_claim'"))
 _oracle(
     "serve_ranked_region", _ranked("capability = 'maternity' AND state_name = 'Kerala' AND tier <> 'no_claim'")
@@ -817,17 +817,17 @@ _oracle(
     "SELECT * FROM (" + _ranked("capability = 'trauma' AND tier <> 'no_claim'") + ")"
     " ORDER BY lower(ifnull(district_norm, '')) DESC, unique_id",
 )
-_oracle(
-    "serve_detail",
-    f"""
+_DETAIL = """
 SELECT unique_id, capability, tier, explanation, CAST(to_json(source_urls_arr) AS VARCHAR) AS citation_urls_json, name,
   facility_type, district_norm, state_name, num_doctors, capacity_beds,
   CAST(to_json(specialties_arr) AS VARCHAR) AS specialties_json,
   CAST(to_json(capability_arr) AS VARCHAR) AS capabilities_json,
   CAST(to_json(equipment_arr) AS VARCHAR) AS equipment_json
 FROM mart
-""",
-)
+"""
+_ONE = " WHERE unique_id = 'f96' AND capability = 'icu'"
+_oracle("serve_detail", _DETAIL)
+_oracle("serve_detail_one", _DETAIL + _ONE)
 _oracle(
     "serve_detail_compact",
     "SELECT unique_id, capability, tier, score, CAST(to_json(source_urls_arr) AS VARCHAR) AS citation_urls_json, name,"
@@ -847,23 +847,26 @@ _EVIDENCE = "[" + ", ".join(
 ) + "]"
 
 
-def _badge(name: str) -> str:
-    return (
-        f"{_joined(f'ifnull({name}_arr, []::VARCHAR[])[1:24]')} AS {name}_badges,"
-        f" CAST(greatest(ifnull(len({name}_arr), 0) - 24, 0) AS INTEGER) AS {name}_more"
-    )
+def _badge(name: str, most: int | None) -> str:
+    items = f"ifnull({name}_arr, []::VARCHAR[])"
+    more = "0" if most is None else f"greatest(len({items}) - {most}, 0)"
+    return f"{_joined(items + _cut(most))} AS {name}_badges, CAST({more} AS INTEGER) AS {name}_more"
 
 
-_oracle(
-    "serve_signals",
-    f"""
+def _cut(most: int | None) -> str:
+    return "" if most is None else f"[1:{most}]"
+
+
+def _signals(snippets: int | None = None, citations: int | None = None, badges: int | None = None) -> str:
+    given = "list_transform(ifnull(supporting_snippets_llm, []::VARCHAR[]), lambda t: trim(t))"
+    each = f"list_filter({given}, lambda t, i: t <> '' AND list_position({given}, t) = i)"
+    return f"""
 SELECT unique_id, capability,
   ifnull(array_to_string({_EVIDENCE}, '|'), '') AS evidence_signals,
   ifnull(array_to_string({_CONTEXT}, '|'), '') AS context_signals,
-  array_to_string(list_filter(list_transform(ifnull(supporting_snippets_llm, []::VARCHAR[]), lambda t: trim(t)),
-    lambda t, i: t <> '' AND list_position(list_transform(ifnull(supporting_snippets_llm, []::VARCHAR[]), lambda u: trim(u)), t) = i)[1:5], '|') AS snippets,
+  {_joined(each + _cut(snippets))} AS snippets, CAST(len({each}) AS INTEGER) AS n_snippets,
   CAST(ifnull(len(source_urls_arr), 0) AS INTEGER) AS n_citations,
-  {_joined('ifnull(source_urls_arr, []::VARCHAR[])[1:10]')} AS citations,
+  {_joined('ifnull(source_urls_arr, []::VARCHAR[])' + _cut(citations))} AS citations,
   CASE
     WHEN structured_hit OR claim_hit OR prose_hit THEN NULL
     WHEN well_corroborated AND recent_update THEN {_q(texts.CONTEXT_NOTE_SOURCED_RECENT)}
@@ -871,10 +874,14 @@ SELECT unique_id, capability,
     WHEN recent_update THEN {_q(texts.CONTEXT_NOTE_RECENT)}
     WHEN screening_only OR implausible OR capacity_supported THEN {_q(texts.CONTEXT_NOTE_OTHER)}
   END AS context_note,
-  {_badge('specialties')}, {_badge('capability')}, {_badge('equipment')}
+  {_badge('specialties', badges)}, {_badge('capability', badges)}, {_badge('equipment', badges)}
 FROM mart
-""",
-)
+"""
+
+
+_oracle("serve_signals", _signals())
+_oracle("serve_signals_page", _signals(5, 10, 24))
+_oracle("serve_signals_one", _signals() + _ONE)
 _oracle("overrides_valid", "SELECT * FROM override_problems")
 _oracle("overrides_state", "SELECT * FROM in_force")
 _oracle(
@@ -909,6 +916,7 @@ SELECT * FROM (
 )
 """,
 )
+_oracle("profile_groups", "SELECT address_stateOrRegion AS value, count(*) AS n_rows FROM raw_facilities GROUP BY ALL")
 _oracle(
     "profile_invalid_codes",
     f"SELECT count(*) AS n_rows, sum(if(ifnull(list_contains({_list(FACILITY.valid_types)}, facilityTypeId), false), 0, 1))::BIGINT AS invalid_type,"
@@ -946,7 +954,8 @@ _oracle(
 SELECT count(*) AS n_rows, count(*) FILTER (t.pincode BETWEEN 100000 AND 999999) AS parseable,
   count(b.pincode) AS matched,
   count(*) FILTER (b.pincode IS NOT NULL AND lower(t.state_norm) = lower(b.state_name)) AS state_agrees,
-  count(*) FILTER (b.pincode IS NOT NULL AND lower(t.state_norm) IS DISTINCT FROM lower(b.state_name)) AS state_differs
+  count(*) FILTER (b.pincode IS NOT NULL AND lower(t.state_norm) IS DISTINCT FROM lower(b.state_name)) AS state_differs,
+  count(*) FILTER (b.district_norm IN (SELECT district_norm FROM indicators)) AS with_indicators
 FROM typed t LEFT JOIN bridge b ON b.pincode = t.pincode
 """,
 )

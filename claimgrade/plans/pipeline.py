@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from claimgrade.config import FACILITY, GradingConfig
 from claimgrade.operators import clean, geo, grading, mart, reference_data
 from claimgrade.review import inputs as review_inputs
 from claimgrade.review import pending, run, signals
-from claimgrade.session import BROADCAST_ROWS, at_most, materialise, tune
+from claimgrade.session import materialise, path_exists, tune
 from claimgrade.sources import tables
 from claimgrade.sources.tables import StageStore
 
@@ -46,8 +45,7 @@ def rebuild(
     out["indicators"] = store.write(reference_data.indicators(raw.district_indicators), "indicators")
     out["need_index"] = store.write(reference_data.need_index(out["indicators"]), "need_index")
 
-    small = at_most(out["bridge"], BROADCAST_ROWS)
-    profiles = geo.resolve(out["entities"], out["bridge"], small)
+    profiles = geo.resolve(out["entities"], out["bridge"])
     out["geo"] = store.write(geo.geo_table(profiles), "geo")
     graded = grading.grade(profiles, cfg, as_of)
     out["baseline"] = store.write(grading.baseline(graded), "baseline")
@@ -75,6 +73,7 @@ def sweep(
     target: str,
     batch: bool = True,
     template: str | None = None,
+    concurrency: int | None = None,
     cfg: GradingConfig = FACILITY,
     refresh_after: bool = True,
     **selection: object,
@@ -82,7 +81,9 @@ def sweep(
     """Review what is pending, append results and failures, return the run's counters.
 
     Without a limit one sweep takes everything that is pending. Keys that this run
-    gave up earlier are not asked again.
+    gave up earlier are not asked again. What the reviewer says is kept next to the dead
+    letters: a sweep that died goes on from there when it is run again with its run id.
+    ``concurrency`` is the number of calls at the same time.
     """
     spark: SparkSession = tune(store.spark)
     reviews = tables.create_landing(spark, landing)
@@ -101,7 +102,8 @@ def sweep(
         requests = pending.single_requests(selected)
     # one moment for the whole run, stored with the answers
     now = F.current_timestamp()
-    answered = run.run(requests, reviewer, run_id, batch, template=template)
+    said = f"{letters.rstrip('/')}-answers"
+    answered = run.run(requests, reviewer, run_id, batch, template=template, answers=said, concurrency=concurrency)
     parsed = materialise(answered.withColumns({"run_id": F.lit(run_id), "answered_at": now}), "run")
     rows = run.rows(parsed, run_id, prompt_version, target, F.col("answered_at"))
     tables.append_reviews(rows, landing, run_id)
@@ -113,7 +115,6 @@ def sweep(
 
 
 def _given_up(spark: SparkSession, letters: str, run_id: str) -> DataFrame | None:
-    try:
-        return run.failed_keys(tables.read_dead_letters(spark, letters), run_id)
-    except AnalysisException:
+    if not path_exists(spark, letters):
         return None
+    return run.failed_keys(tables.read_dead_letters(spark, letters), run_id)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrade.config import MAX_SNIPPETS, SCOPES
+from claimgrade.config import SCOPES
 from claimgrade.functions import variants as v
 from claimgrade.functions.steps import compute, let
 from claimgrade.functions.text import strip
@@ -164,9 +164,7 @@ def signal(record: Column) -> Column:
             (kind["capability_scope"] == "STRING") & text["capability_scope"].isin(*SCOPES), text["capability_scope"]
         )
         snippets = F.filter(F.transform(r["snippets"], strip), lambda t: t != "")
-        values["supporting_snippets"] = F.coalesce(
-            F.slice(snippets, 1, MAX_SNIPPETS), F.array().cast("array<string>")
-        )
+        values["supporting_snippets"] = F.coalesce(snippets, F.array().cast("array<string>"))
         values["confidence"] = _share(kind["confidence"], text["confidence"])
         values["reasoning"] = F.when(kind["reasoning"] == "STRING", text["reasoning"])
         named = F.when(kind["capability"] == "STRING", text["capability"])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimgrade.functions.text import blank_to_null
 from claimgrade.operators.clean import first_per
-from claimgrade.session import BROADCAST_ROWS
 
 KEY = ["unique_id", "capability"]
 
@@ -94,8 +93,6 @@ def pending(
     if mode == "row":
         return rows.orderBy("capability", "unique_id").limit(limit)
     chosen = rows.select("unique_id").distinct().orderBy("unique_id").limit(limit)
-    if limit <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
     return rows.join(chosen, "unique_id", "left_semi").orderBy("unique_id", "capability")
 
 

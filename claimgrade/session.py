@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans in this package are written for. All are per-session SQL settings.
@@ -22,9 +23,6 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-# Rows up to which a lookup side may be broadcast once it has been counted.
-BROADCAST_ROWS = 200_000
-
 # temporary folders of local sessions, by application
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -35,15 +33,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows.
-
-    Counts per partition, which a stored table answers from its file footers; a limit
-    before the count would send rows to one task.
-    """
-    return df.count() <= rows
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables.
 
@@ -71,3 +60,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/claimgrade/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store its path names."""
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise

@@ -7,15 +7,16 @@ that is being replaced and a rebuild that fails leaves the old version in force.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimgrade import schemas
+from claimgrade.session import path_exists
 
 RAW_SCHEMAS = {
     "raw_facilities": schemas.RAW_FACILITIES,
@@ -29,6 +30,7 @@ _CATALOGUE = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("seconds", T.DoubleType()),
+        T.StructField("columns", T.StringType()),
         T.StructField("written_at", T.TimestampType()),
     ]
 )
@@ -51,10 +53,11 @@ class StageStore:
         path = f"{self.root}/{stage}/version={uuid.uuid4().hex}"
         started = time.monotonic()
         df.write.partitionBy(*partition_by).parquet(path)
-        stored = self.spark.read.parquet(path)
-        line = [(stage, path, stored.count(), time.monotonic() - started)]
+        # the schema is the written one: values of a partition column are not guessed
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        line = [(stage, path, stored.count(), time.monotonic() - started, df.schema.json())]
         (
-            self.spark.createDataFrame(line, "stage string, path string, n_rows bigint, seconds double")
+            self.spark.createDataFrame(line, "stage string, path string, n_rows bigint, seconds double, columns string")
             .withColumn("written_at", F.current_timestamp())
             .coalesce(1)
             .write.mode("append")
@@ -71,33 +74,31 @@ class StageStore:
             self.versions()
             .where(F.col("stage") == stage)
             .orderBy(F.col("written_at").desc(), F.col("path"))
-            .select("path")
+            .select("path", "columns")
             .first()
         )
         if last is None:
             raise LookupError(f"stage {stage!r} has not been written")
-        return self.spark.read.parquet(last["path"])
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(last["columns"]))).parquet(last["path"])
 
 
 def create_landing(spark: SparkSession, path: str) -> DataFrame:
-    """The landing table of reviews; created empty when there is none."""
-    try:
-        return spark.read.schema(schemas.REVIEWS_RAW).parquet(path)
-    except AnalysisException:
-        spark.createDataFrame([], schemas.REVIEWS_RAW).write.parquet(path)
-        return spark.read.schema(schemas.REVIEWS_RAW).parquet(path)
+    """The landing table of reviews, in folders by run; created empty when there is none."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], schemas.REVIEWS_RAW).write.partitionBy("run_id").parquet(path)
+    return spark.read.schema(schemas.REVIEWS_RAW).parquet(path)
 
 
 def append_reviews(rows: DataFrame, path: str, run_id: str) -> DataFrame:
     """Append the rows of one run in one distributed write.
 
     Rows this run has already stored are left out, so a repeated append adds
-    nothing. Only files of the run are compared: its id is pushed to the scan.
+    nothing. Only the folder of the run is read for that, not the history.
     """
     spark = rows.sparkSession
     stored = create_landing(spark, path).where(F.col("run_id") == run_id).select(*REVIEW_KEY)
     new = rows.where(F.col("run_id") == run_id).join(stored, REVIEW_KEY, "left_anti")
-    new.select(*schemas.REVIEWS_RAW.names).write.mode("append").parquet(path)
+    new.select(*schemas.REVIEWS_RAW.names).write.mode("append").partitionBy("run_id").parquet(path)
     return spark.read.schema(schemas.REVIEWS_RAW).parquet(path)
 
 

@@ -53,7 +53,7 @@ def graded_frame(spark, facilities):
 
     def make(*rows: dict, as_of: str = "2024-01-01") -> DataFrame:
         bridge = spark.createDataFrame([], "pincode bigint, district_norm string, state_name string")
-        profiles = geo.resolve(clean.entities(facilities(*rows)), bridge, True)
+        profiles = geo.resolve(clean.entities(facilities(*rows)), bridge)
         return grading.grade(profiles, as_of=as_of)
 
     return make

@@ -145,15 +145,21 @@ def test_bridge_has_one_row_per_pincode_and_breaks_ties(spark):
     assert {tuple(r) for r in found.collect()} == {(1, "A", "X"), (2, "Z", "Kerala")}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_both_ways_of_the_lookup_agree(spark, small):
-    facts = [("a", 1), ("b", 9), ("c", None), *[(f"h{i}", 2) for i in range(200)]]
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_lookup_with_and_without_broadcast(spark, threshold):
+    """One postcode holds most rows; rows without one match nothing."""
+    facts = [("a", 1), ("b", 9), *[(f"n{i}", None) for i in range(50)], *[(f"h{i}", 2) for i in range(200)]]
     frame = spark.createDataFrame(facts, "unique_id string, pincode bigint")
     bridge = spark.createDataFrame([(1, "one"), (2, "two")], "pincode bigint, state_name string")
-    found = geo.lookup(frame, bridge, "pincode", "unique_id", small)
-    got = {r["unique_id"]: r["state_name"] for r in found.collect()}
-    assert found.count() == len(facts)
-    assert got == {"a": "one", "b": None, "c": None, **{f"h{i}": "two" for i in range(200)}}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = geo.lookup(frame, bridge, "pincode", "unique_id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == len(facts)
+    got = {r["unique_id"]: r["state_name"] for r in found}
+    assert got == {"a": "one", "b": None, **{f"n{i}": None for i in range(50)}, **{f"h{i}": "two" for i in range(200)}}
 
 
 def test_terms_and_quotes(spark):

@@ -134,7 +134,7 @@ SINGLE = [
     (
         {"supporting_snippets": [" a ", "", "b", " ", "c", "d", "e", "f"]},
         None,
-        {"supporting_snippets": ["a", "b", "c", "d", "e"]},
+        {"supporting_snippets": ["a", "b", "c", "d", "e", "f"]},
     ),
     ({"tier": "strong"}, "unknown keys: tier", None),
     ({"capability": "icu"}, "unknown keys: capability", None),
@@ -206,9 +206,11 @@ def test_model_name_is_searched_near_first(spark):
         {"z": {"served_model_name": " z "}, "a": [{"model": "a"}], "model": 5},
         {"x": [{"y": {"served_entity_version": "v"}}], "model": " "},
         {"served_entity_name": "e", "served_model_name": "m"},
+        {"a": [{"model": "deep", "model_version": "9"}, {"model_version": "8"}], "model": "top"},
+        {"text": "says \"model\": x", "model": [], "b": {"model_version": " "}},
     ]
-    found = _answers(spark, responses).select(run.model_of(F.col("raw_response_json")).alias("m")).select("m.*")
-    assert [tuple(r) for r in found.collect()] == [("top", None), ("z", None), (None, "v"), ("m", None)]
+    found = run.with_model(_answers(spark, responses)).select("model_name", "model_version")
+    assert [tuple(r) for r in found.collect()] == [("top", None), ("z", None), (None, "v"), ("m", None), ("top", "9"), (None, None)]
 
 
 def test_template_places(spark):
@@ -343,3 +345,101 @@ def test_run_repairs_and_retries(spark):
     assert by_name["late"]["request_id"].endswith("attempt2")
     assert by_name["never"]["error"] == parse.NO_OBJECT
     assert by_name["never"]["request_id"].endswith("attempt3")
+
+
+def make_failing(marker: str):
+    """A reviewer that raises about some requests and notes every call in a folder."""
+
+    def failing(frame: pd.DataFrame) -> pd.Series:
+        import json
+        import uuid
+        from pathlib import Path
+
+        for request in frame["request_id"]:
+            if ":broken" in request or (":once" in request and "attempt1" in request):
+                raise RuntimeError("no answer for " + request.split(":")[2])
+        Path(marker, uuid.uuid4().hex).write_text("\n".join(frame["request_id"]))
+        record = {"claim_hit": True}
+        good = json.dumps({"output_text": json.dumps({"results": [{**record, "capability": c} for c in ("icu", "trauma")]})})
+        return pd.Series([good] * len(frame))
+
+    return failing
+
+
+def test_a_reviewer_that_raises_costs_its_request_only(spark, tmp_path):
+    names = [*[f"good{i}" for i in range(20)], "broken", "once"]
+    answered = run.run(_requests(spark, names), make_failing(str(tmp_path)), "r1", concurrency=2, groups=2).collect()
+    by_name = {r["unique_id"]: r for r in answered}
+    assert len(answered) == len(names)
+    assert by_name["broken"]["error"] == "call failed: RuntimeError: no answer for broken"
+    assert by_name["once"]["error"] is None and by_name["once"]["request_id"].endswith("attempt2")
+    assert all(by_name[n]["error"] is None for n in names if n.startswith("good"))
+    # a failed call has no answer to repair
+    asked = [line for p in tmp_path.iterdir() for line in p.read_text().splitlines()]
+    assert not any(a.endswith(":repair") for a in asked)
+
+
+def test_a_run_that_died_goes_on(spark, tmp_path):
+    names = [f"n{i}" for i in range(30)]
+    calls, answers = tmp_path / "calls", str(tmp_path / "answers")
+    calls.mkdir()
+    inner = make_failing(str(calls))
+
+    def dying(frame: pd.DataFrame) -> pd.Series:
+        import os
+
+        os._exit(1)  # the worker is gone, not only the call
+
+    def half(frame: pd.DataFrame) -> pd.Series:
+        return inner(frame)
+
+    frame = _requests(spark, names)
+    run.run(frame.where("unique_id < 'n2'"), half, "r1", answers=answers, groups=4)
+    first = {line for p in calls.iterdir() for line in p.read_text().splitlines()}
+    assert 0 < len(first) < len(names)
+    with pytest.raises(Exception, match="(?s)exited|crashed|EOF|Python worker"):
+        run.run(frame, dying, "r1", answers=answers, groups=4)
+    done = run.run(frame, half, "r1", answers=answers, groups=4).collect()
+    asked = [line for p in calls.iterdir() for line in p.read_text().splitlines()]
+    assert len(done) == len(names) and all(r["error"] is None for r in done)
+    # nothing was asked twice
+    assert len(asked) == len(set(asked)) == len(names)
+
+
+def test_a_single_row_is_repaired_only_when_it_cannot_be_read(spark, tmp_path):
+    calls = str(tmp_path)
+
+    def reviewer(frame: pd.DataFrame) -> pd.Series:
+        import json
+        import uuid
+        from pathlib import Path
+
+        Path(calls, uuid.uuid4().hex).write_text("\n".join(frame["request_id"]))
+
+        def one(request: str) -> str:
+            text = "sorry" if ":unread" in request else '{"claim_hit": "maybe"}'
+            return json.dumps({"output_text": text})
+
+        return frame["request_id"].map(one)
+
+    requests = _requests(spark, ["unread", "invalid"], ("icu",))
+    failed = run.run(requests, reviewer, "r1", batch=False, rounds=2).collect()
+    assert {r["unique_id"]: r["error"] for r in failed} == {"unread": parse.NO_OBJECT, "invalid": "bad claim_hit"}
+    asked = [line for p in tmp_path.iterdir() for line in p.read_text().splitlines()]
+    repaired = [a for a in asked if a.endswith(":repair")]
+    assert len(asked) == 6 and len(repaired) == 2 and all(":unread" in a for a in repaired)
+
+
+def test_fingerprint_of_a_literal_row(spark):
+    """The hash of the parts of one row, written out by hand."""
+    import hashlib
+
+    columns = {p: f"<{p}>" for p in inputs.FINGERPRINT_PARTS}
+    columns |= {"score": 7, "citation_urls": ["u1", "u2"], "source_types_arr": None, "num_doctors": None}
+    fields = ", ".join(
+        f"{p} {'int' if p in ('score', 'num_doctors') else 'array<string>' if p in inputs.FINGERPRINT_LISTS else 'string'}" for p in columns
+    )
+    row = spark.createDataFrame([tuple(columns.values())], fields)
+    found = inputs.with_fingerprint(row).first()["evidence_fingerprint"]
+    texts = ["[]" if p == "source_types_arr" else '["u1","u2"]' if p == "citation_urls" else "7" if p == "score" else "" if p == "num_doctors" else f"<{p}>" for p in columns]
+    assert found == hashlib.sha256("||".join(texts).encode()).hexdigest()

@@ -22,17 +22,17 @@ def mart(spark):
 
 
 def test_regions(mart):
-    assert [r[0] for r in serve.regions(mart).collect()] == ["Goa", "Kerala"]
+    assert [tuple(r) for r in serve.regions(mart).collect()] == [("Goa", 150), ("Kerala", 150)]
 
 
 def test_ranked(mart):
-    rows = serve.ranked(mart, "icu").collect()
-    assert len(rows) == 200
+    rows = serve.ranked(mart, "icu", n=200).collect()
+    assert len(rows) == 200 and serve.ranked(mart, "icu").count() == 450
     keys = [(TIERS.index(r["tier"]), -r["score"], r["unique_id"]) for r in rows]
     assert keys == sorted(keys) and rows[0]["tier"] == "strong"
     assert {r["tier"] for r in serve.ranked(mart, "icu", tier="no_claim").collect()} == {"no_claim"}
     assert {r["state_name"] for r in serve.ranked(mart, "icu", region="Goa").collect()} <= {"Goa"}
-    everything = serve.ranked(mart, "icu", "All", "All", n=1000)
+    everything = serve.ranked(mart, "icu", "All", "All")
     assert everything.count() == 450 and everything.where("tier = 'no_claim'").count() == 0
 
 
@@ -120,7 +120,9 @@ def test_signals_and_summary(spark):
     a, b, c, d = serve.signals(mart).orderBy("unique_id").collect()
     assert a["evidence_signals"] == ["structured evidence matched", "capability claim matched"]
     assert a["context_note"] is None and a["snippets"] == ["q"]
-    assert (a["n_citations"], len(a["citations"]), d["n_citations"]) == (12, 10, 0)
+    assert (a["n_citations"], len(a["citations"]), d["n_citations"]) == (12, 12, 0)
+    page = serve.signals(mart, unique_id="u0", max_citations=10, max_snippets=0).first()
+    assert (page["n_citations"], len(page["citations"]), page["snippets"], page["n_snippets"]) == (12, 10, [], 1)
     assert b["context_note"].startswith("The facility itself looks well-sourced and recently updated")
     assert c["context_note"] == "We found no direct evidence for this capability."
     assert d["context_note"] is None and d["context_signals"] == []
