@@ -7,9 +7,11 @@ results can be compared with those of another engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,10 @@ from claimgrade.operators import (
 )
 from claimgrade.review import inputs as review_inputs
 from claimgrade.review import parse, pending, prompts, run, signals
-from claimgrade.session import tune
-from claimgrade.sources import testdata
+from claimgrade.plans import pipeline
+from claimgrade.session import materialise, shared_folder, tune
+from claimgrade.sources import tables, testdata
+from claimgrade.sources.tables import StageStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,6 +143,26 @@ class Stages:
     def parsed(self, batch: bool) -> DataFrame:
         return parse.parse(self.answers(batch), batch)
 
+    def folder(self) -> str:
+        """A new folder for stored stages, in the folder that all executors share."""
+        return f"{shared_folder(self.spark).rstrip('/')}/claimgrade/catalog-{uuid.uuid4().hex}"
+
+    def store(self) -> StageStore:
+        return StageStore(self.spark, self.folder())
+
+    def landing(self) -> str:
+        """A landing table with the stand-in reviews, appended run by run."""
+        path = self.folder()
+        reviews = materialise(self.reviews(), "reviews")
+        # all runs but one in one write; that one by append_reviews, twice
+        one = "r7"
+        others = reviews.where(F.col("run_id") != one)
+        tables.create_landing(self.spark, path)
+        others.write.mode("append").partitionBy("run_id").parquet(path)
+        for _ in range(2):
+            tables.append_reviews(reviews, path, one)
+        return path
+
     @stage
     def effective(self) -> DataFrame:
         return overrides.effective(self.mart(), overrides.state(self.raw("override_events")))
@@ -433,6 +457,16 @@ def review_pending(s: Stages) -> DataFrame:
     return s.pending().select(*PENDING_COLUMNS)
 
 
+@query
+def review_pending_forced(s: Stages) -> DataFrame:
+    return s.pending(force=True, capability="icu").select(*PENDING_COLUMNS)
+
+
+@query
+def review_pending_one(s: Stages) -> DataFrame:
+    return s.pending(unique_id="f96").select(*PENDING_COLUMNS)
+
+
 @query
 def review_pending_rows(s: Stages) -> DataFrame:
     return s.pending(mode="row", limit=120).select(*PENDING_COLUMNS)
@@ -578,6 +612,49 @@ def review_run_summary(s: Stages) -> DataFrame:
     return run.summary(s.parsed(batch=True))
 
 
+def stand_in(frame: pd.DataFrame) -> pd.Series:
+    """Says by the last digit of the entity what becomes of its request: 0 an answer that cannot be
+    read before its repair, 1 one that comes at the second attempt, 2 a call that always fails, 3 an
+    unknown key that a repair mends for a whole entity; the others are answered at once."""
+    import json
+
+    if any(r.split(":")[2][-1] == "2" for r in frame["request_id"]):
+        raise ConnectionError("no connection")
+
+    def one(request: str) -> str:
+        _, kind, entity, names, attempt, *repair = request.split(":")
+        digit = entity[-1]
+        record = {"claim_hit": True, "reasoning": f"{attempt}{':' if repair else ''}{''.join(repair)}"}
+        if digit == "0" and not repair or digit == "1" and attempt == "attempt1":
+            return json.dumps({"model": "stand-in", "output_text": "sorry"})
+        if digit == "3" and not repair:
+            record["unknown"] = 1
+        results = {"results": [{**record, "capability": c} for c in names.split("+")]}
+        return json.dumps({"model": "stand-in", "output_text": json.dumps(results if kind == "facility" else record)})
+
+    return frame["request_id"].map(one)
+
+
+@query
+def review_repair(s: Stages) -> DataFrame:
+    """Calls that fail, repairs and later attempts, for the ICU requests of both modes."""
+    rows = s.pending(force=True, capability="icu")
+    asked = {True: pending.batches(rows, s.profiles()), False: pending.single_requests(rows)}
+    done = [run.run(requests, stand_in, "r1", batch, rounds=2).withColumn("mode", F.lit("entity" if batch else "row")) for batch, requests in asked.items()]
+    record = F.get("records", F.lit(0))
+    return done[0].unionByName(done[1]).select(
+        "mode", "unique_id", F.substring_index("request_id", ":", -1).alias("attempt"), record["reasoning"].alias("reasoning"), "error"
+    )
+
+
+@query
+def review_append(s: Stages) -> DataFrame:
+    """The landing table after appends, one of them repeated."""
+    return tables.create_landing(s.spark, s.landing()).select(
+        "unique_id", "capability", "evidence_fingerprint", "prompt_version", "run_id", at_second("inference_ts"), "parsed_json"
+    )
+
+
 # --- review: signals and mart --------------------------------------------------------
 
 
@@ -645,6 +722,28 @@ def evidence_document_final(s: Stages) -> DataFrame:
     return s.mart().select("unique_id", "capability", *fields("evidence_json", *FINAL_DOCUMENT))
 
 
+@query
+def run_pipeline(s: Stages) -> DataFrame:
+    """All stages rebuilt from the raw tables into a store, before any review."""
+    raw = pipeline.Raw(s.raw(), s.raw("raw_pincode_directory"), s.raw("raw_district_indicators"))
+    store = s.store()
+    built = pipeline.rebuild(raw, store, s.folder(), as_of=testdata.AS_OF, snapshot_ts=testdata.SNAPSHOT_TS)
+    counted = [f.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows") for name, f in built.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def mart_refresh(s: Stages) -> DataFrame:
+    """Signals and mart built anew from stored baseline and inputs after reviews came in."""
+    store = s.store()
+    store.write(grading.baseline(s.graded()), "baseline")
+    store.write(s.inputs(), "inputs")
+    pipeline.refresh(store, tables.create_landing(s.spark, s.landing()))
+    return store.read("mart").select(
+        "unique_id", "capability", "tier", "score", "explanation", "heuristic_tier", "current_llm_review", "llm_review_status", "run_id"
+    )
+
+
 # --- serving -------------------------------------------------------------------------
 
 

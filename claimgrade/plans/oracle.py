@@ -134,6 +134,17 @@ CTES["entities"] = """
 SELECT DISTINCT ON (unique_id) * FROM cluster_heads
 ORDER BY unique_id, n_source_urls DESC NULLS LAST, source_content_id
 """
+CTES["quarantined"] = f"""
+SELECT source_content_id, unique_id, facilityTypeId,
+  array_to_string(list_filter([if(name IS NULL, 'missing_name', NULL),
+    if(NOT list_contains({_list(FACILITY.valid_types)}, facilityTypeId), 'invalid_type', NULL)], lambda x: x IS NOT NULL), ',') AS reason
+FROM raw_facilities
+WHERE name IS NULL OR NOT list_contains({_list(FACILITY.valid_types)}, facilityTypeId)
+UNION ALL
+SELECT source_content_id, unique_id, facilityTypeId, 'duplicate_id'
+FROM cluster_heads
+WHERE source_content_id NOT IN (SELECT source_content_id FROM entities)
+"""
 CTES["bridge"] = f"""
 SELECT DISTINCT ON (pincode) pincode, district_norm, bridge_state AS state_name
 FROM (
@@ -495,20 +506,7 @@ _oracle(
     " facebook_link, source, recency_of_page_update, address_line1, address_city, state_raw, state_norm,"
     " pincode, address_country, latitude, longitude FROM entities",
 )
-_oracle(
-    "clean_quarantine",
-    f"""
-SELECT source_content_id, unique_id, facilityTypeId,
-  array_to_string(list_filter([if(name IS NULL, 'missing_name', NULL),
-    if(NOT list_contains({_list(FACILITY.valid_types)}, facilityTypeId), 'invalid_type', NULL)], lambda x: x IS NOT NULL), ',') AS reason
-FROM raw_facilities
-WHERE name IS NULL OR NOT list_contains({_list(FACILITY.valid_types)}, facilityTypeId)
-UNION ALL
-SELECT source_content_id, unique_id, facilityTypeId, 'duplicate_id'
-FROM cluster_heads
-WHERE source_content_id NOT IN (SELECT source_content_id FROM entities)
-""",
-)
+_oracle("clean_quarantine", "SELECT * FROM quarantined")
 _ARRAYS = (
     "capability_arr",
     "specialties_arr",
@@ -650,6 +648,34 @@ _oracle(
     " parsed_json FROM latest",
 )
 _oracle("review_pending", "SELECT * FROM pending")
+_FORCED = f"SELECT unique_id, capability, name AS facility_name, evidence_fingerprint, {_q(SNAPSHOT)} AS source_snapshot_ts FROM inputs"
+_oracle("review_pending_forced", _FORCED + " WHERE capability = 'icu'")
+_oracle("review_pending_one", "SELECT * FROM pending WHERE unique_id = 'f96'")
+_oracle(
+    "review_repair",
+    f"""
+SELECT mode, unique_id,
+  CASE
+    WHEN d = '2' OR d = '3' AND mode = 'row' THEN 'attempt2'
+    WHEN d = '1' THEN 'attempt2'
+    ELSE 'attempt1'
+  END AS attempt,
+  CASE
+    WHEN d = '0' THEN 'attempt1:repair'
+    WHEN d = '1' THEN 'attempt2'
+    WHEN d = '2' THEN NULL
+    WHEN d = '3' AND mode = 'entity' THEN 'attempt1:repair'
+    WHEN d = '3' THEN NULL
+    ELSE 'attempt1'
+  END AS reasoning,
+  CASE WHEN d = '2' THEN 'call failed: ConnectionError: no connection' WHEN d = '3' AND mode = 'row' THEN 'unknown keys: unknown' END AS error
+FROM (SELECT unique_id, right(unique_id, 1) AS d FROM profiles), (VALUES ('entity'), ('row')) m(mode)
+""",
+)
+_oracle(
+    "review_append",
+    f"SELECT {_IDS}, evidence_fingerprint, prompt_version, run_id, strftime(inference_ts, {_TIME}) AS inference_ts, parsed_json FROM reviews",
+)
 _oracle("review_pending_rows", f"SELECT * FROM pending ORDER BY capability, unique_id LIMIT 120")
 _oracle(
     "review_pending_batch",
@@ -795,6 +821,15 @@ _oracle(
     " CAST(to_json(supporting_snippets_llm) AS VARCHAR) AS supporting_snippets_llm,"
     f" {_text('confidence_llm')}, reasoning_llm FROM mart",
 )
+_STAGES = {
+    "quarantine": "quarantined", "entities": "entities", "bridge": "bridge", "indicators": "indicators", "need_index": "indicators",
+    "geo": "profiles", "baseline": "graded", "inputs": "graded", "signals": "graded", "mart": "graded",
+}
+_oracle("run_pipeline", " UNION ALL ".join(f"SELECT '{s}' AS stage, count(*) AS n_rows FROM {t}" for s, t in _STAGES.items()))
+_oracle(
+    "mart_refresh",
+    f"SELECT {_IDS}, tier, score, explanation, heuristic_tier, current_llm_review, llm_review_status, run_id FROM mart",
+)
 _RANKED = "unique_id, name, facility_type, district_norm, state_name, tier, score, n_source_urls"
 
 

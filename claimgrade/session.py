@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +25,21 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# the folder that holds this package
+_ROOT = str(Path(__file__).resolve().parent.parent)
 # temporary folders of local sessions, by application
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``SETTINGS``, and let Python workers import this package from where it lies.
+
+    On a cluster the package is installed on the nodes, or shipped with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
