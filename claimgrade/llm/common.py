@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimgrade import session
 from claimgrade.session import materialise
 
 # the white space and the words of every contract in this subpackage
@@ -16,8 +17,6 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     # whole texts travel in these batches: bound their rows and bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
@@ -25,6 +24,7 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    session.tune(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
