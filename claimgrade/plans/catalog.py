@@ -90,6 +90,11 @@ class Stages:
     def profiles(self) -> DataFrame:
         return geo.resolve(self.entities(), self.bridge())
 
+    @stage
+    def stored_profiles(self) -> DataFrame:
+        """The profiles as the pipeline stores them, for queries that use them more than once."""
+        return materialise(self.profiles(), "profiles")
+
     @stage
     def graded(self) -> DataFrame:
         return grading.grade(self.profiles(), as_of=testdata.AS_OF)
@@ -100,11 +105,17 @@ class Stages:
 
     @stage
     def inputs(self) -> DataFrame:
-        return review_inputs.inputs(self.graded(), testdata.SNAPSHOT_TS)
+        """Stored input rows, as the pipeline has them."""
+        graded = grading.grade(self.stored_profiles(), as_of=testdata.AS_OF)
+        return materialise(review_inputs.inputs(graded, testdata.SNAPSHOT_TS), "inputs")
+
+    @stage
+    def rendered(self) -> DataFrame:
+        return review_inputs.render(self.inputs(), review_inputs.evidence(self.stored_profiles()))
 
     @stage
     def reviews(self) -> DataFrame:
-        return testdata.reviews(self.raw("responses"), self.fingerprinted())
+        return testdata.reviews(self.raw("responses"), self.inputs())
 
     @stage
     def reviewed(self) -> DataFrame:
@@ -117,6 +128,9 @@ class Stages:
     def pending(self, **options: object) -> DataFrame:
         return pending.pending(self.inputs(), self.reviews(), testdata.PROMPT_VERSION, **options)
 
+    def single_requests(self, rows: DataFrame) -> DataFrame:
+        return pending.single_requests(rows, self.inputs(), review_inputs.evidence(self.stored_profiles()))
+
     def answers(self, batch: bool) -> DataFrame:
         """Raw answers in the shape of asked requests."""
         # one small file is one task, and reading an answer costs far more than moving its key
@@ -399,39 +413,28 @@ def review_fingerprint(s: Stages) -> DataFrame:
 @query
 def review_inputs_table(s: Stages) -> DataFrame:
     skipped = ("heuristic_evidence_json", "llm_input_json", "input_snapshot_ts")
+    every = (*review_inputs.ROW_COLUMNS, *review_inputs.EVIDENCE_COLUMNS[1:], *review_inputs.RENDERED)
     lists = ("citation_urls", "source_types_arr", *(f"{c}_arr" for c in ("capability", "specialties", "procedure", "equipment")))
-    columns = [c for c in review_inputs.INPUT_COLUMNS if c not in skipped]
-    return s.inputs().select(
+    columns = [c for c in every if c not in skipped]
+    return s.rendered().select(
         at_second("input_snapshot_ts"), *[joined(c) if c in lists else F.col(c) for c in columns]
     )
 
 
 QUERIES["review_inputs"] = QUERIES.pop("review_inputs_table")
 
-PAYLOAD_PATHS = (
-    "facility.unique_id",
-    "facility.facility_type",
-    "facility.pincode",
-    "facility.latitude",
-    "facility.capacity_beds",
-    "capability",
-    "heuristic_assessment.tier",
-    "heuristic_assessment.score",
-    "heuristic_assessment.explanation",
-    "heuristic_assessment.well_corroborated",
-    "source_evidence.capability_claims",
-    "source_evidence.description",
-    "source_evidence.full_text",
-    "source_evidence.citation_urls",
-    "source_evidence.staff_present",
-    "audit.input_snapshot_ts",
-    "audit.evidence_fingerprint",
+# every field of the payload but the notes
+PAYLOAD_PATHS = tuple(
+    f"{group}.{name}" if isinstance(names, dict) else group
+    for group, names in review_inputs.PAYLOAD.items()
+    if group != "notes"
+    for name in (names if isinstance(names, dict) else [group])
 )
 
 
 @query
 def review_payload(s: Stages) -> DataFrame:
-    return s.inputs().select(*fields("llm_input_json", *PAYLOAD_PATHS, "notes[0]")).withColumnRenamed(
+    return s.rendered().select(*fields("llm_input_json", *PAYLOAD_PATHS, "notes[0]")).withColumnRenamed(
         "notes[0]", "note"
     )
 
@@ -496,7 +499,7 @@ BATCH_PATHS = (
 
 @query
 def review_batches(s: Stages) -> DataFrame:
-    return pending.batches(s.pending(), s.profiles()).select(
+    return pending.batches(s.pending(), s.stored_profiles()).select(
         "unique_id", F.size("requested").alias("n_requested"), *fields("llm_input_json", *BATCH_PATHS)
     )
 
@@ -505,8 +508,8 @@ def review_batches(s: Stages) -> DataFrame:
 def review_prompts(s: Stages) -> DataFrame:
     """Prompts of both modes, with the payload taken out again."""
     rows = s.pending()
-    by_entity = prompts.render(pending.batches(rows, s.profiles()), batch=True)
-    by_row = prompts.render(pending.single_requests(rows), batch=False)
+    by_entity = prompts.render(pending.batches(rows, s.stored_profiles()), batch=True)
+    by_row = prompts.render(s.single_requests(rows), batch=False)
 
     def shown(df: DataFrame, mode: str) -> DataFrame:
         return df.select(
@@ -639,7 +642,7 @@ def stand_in(frame: pd.DataFrame) -> pd.Series:
 def review_repair(s: Stages) -> DataFrame:
     """Calls that fail, repairs and later attempts, for the ICU requests of both modes."""
     rows = s.pending(force=True, capability="icu")
-    asked = {True: pending.batches(rows, s.profiles()), False: pending.single_requests(rows)}
+    asked = {True: pending.batches(rows, s.stored_profiles()), False: s.single_requests(rows)}
     done = [run.run(requests, stand_in, "r1", batch, rounds=2).withColumn("mode", F.lit("entity" if batch else "row")) for batch, requests in asked.items()]
     record = F.get("records", F.lit(0))
     return done[0].unionByName(done[1]).select(

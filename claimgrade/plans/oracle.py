@@ -630,13 +630,21 @@ SELECT {_IDS}, name, facility_type, operator_type, district_norm, state_name, ad
 FROM inputs
 """,
 )
+def _json(column: str, alias: str) -> str:
+    return f"CAST(to_json({column}) AS VARCHAR) AS {alias}"
+
+
 _oracle(
     "review_payload",
     f"""
-SELECT unique_id, facility_type, {_text('pincode')}, {_text('latitude')}, {_text('capacity_beds')}, capability, tier,
-  {_text('score')}, explanation, {_text('well_corroborated')},
-  CAST(to_json(capability_arr) AS VARCHAR) AS capability_claims, description, full_text,
-  CAST(to_json(source_urls_arr) AS VARCHAR) AS citation_urls, {_text('staff_present')},
+SELECT {_IDS}, name, facility_type, operator_type, district_norm, state_name, address_city, {_text('pincode')},
+  {_text('latitude')}, {_text('longitude')}, {_text('num_doctors')}, {_text('capacity_beds')}, tier, {_text('score')}, explanation,
+  {_text('structured_hit')}, {_text('claim_hit')}, {_text('prose_hit')}, {_text('screening_only')},
+  {_text('well_corroborated')}, {_text('implausible')},
+  {_json('capability_arr', 'capability_claims')}, {_json('specialties_arr', 'specialties')},
+  {_json('procedure_arr', 'procedures')}, {_json('equipment_arr', 'equipment')}, description, claim_text, prose_text, full_text,
+  {_json('source_urls_arr', 'citation_urls')}, {_json('source_types_arr', 'source_types')}, {_text('n_source_urls')},
+  official_website, {_text('staff_present')}, source_content_id,
   {_q(SNAPSHOT)} AS input_snapshot_ts, evidence_fingerprint,
   'Use the LLM to refine sub-signals only. The final trust tier stays deterministic.' AS note
 FROM inputs
@@ -822,7 +830,7 @@ _oracle(
     f" {_text('confidence_llm')}, reasoning_llm FROM mart",
 )
 _STAGES = {
-    "quarantine": "quarantined", "entities": "entities", "bridge": "bridge", "indicators": "indicators", "need_index": "indicators",
+    "quarantine": "quarantined", "entities": "entities", "profiles": "profiles", "bridge": "bridge", "indicators": "indicators", "need_index": "indicators",
     "geo": "profiles", "baseline": "graded", "inputs": "graded", "signals": "graded", "mart": "graded",
 }
 _oracle("run_pipeline", " UNION ALL ".join(f"SELECT '{s}' AS stage, count(*) AS n_rows FROM {t}" for s, t in _STAGES.items()))

@@ -45,10 +45,13 @@ def rebuild(
     out["indicators"] = store.write(reference_data.indicators(raw.district_indicators), "indicators")
     out["need_index"] = store.write(reference_data.need_index(out["indicators"]), "need_index")
 
-    profiles = geo.resolve(out["entities"], out["bridge"])
+    # the place join runs once: what follows reads its stored result
+    profiles = store.write(geo.resolve(out["entities"], out["bridge"]), "profiles")
+    out["profiles"] = profiles
     out["geo"] = store.write(geo.geo_table(profiles), "geo")
     graded = grading.grade(profiles, cfg, as_of)
     out["baseline"] = store.write(grading.baseline(graded), "baseline")
+    # per row the keys, the fingerprint and the verdict; the texts stay in the profiles
     out["inputs"] = store.write(review_inputs.inputs(graded, snapshot_ts), "inputs")
     reviews = tables.create_landing(store.spark, landing)
     return out | refresh(store, reviews, cfg)
@@ -95,11 +98,11 @@ def sweep(
         failed=_given_up(spark, letters, run_id),
         **selection,
     )
+    profiles = store.read("profiles")
     if batch:
-        profiles = geo.resolve(store.read("entities"), store.read("bridge"))
         requests = pending.batches(selected, profiles)
     else:
-        requests = pending.single_requests(selected)
+        requests = pending.single_requests(selected, store.read("inputs"), review_inputs.evidence(profiles))
     # one moment for the whole run, stored with the answers
     now = F.current_timestamp()
     said = f"{letters.rstrip('/')}-answers"

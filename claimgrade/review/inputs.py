@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgrade.operators.grading import RENAMED
 from claimgrade.functions.text import EMPTY_JSON_ARRAY, quote
 
 # The parts of the evidence fingerprint, in order. Every part is its
@@ -54,6 +55,7 @@ FINGERPRINT_SEPARATOR = "||"
 # which score and explanation also depend on the day of grading
 DERIVED_PARTS = ("tier", "score", "explanation")
 
+# Fixed value
 NOTES = ("Use the LLM to refine sub-signals only. The final trust tier stays deterministic.",)
 
 # graded column -> input column
@@ -69,10 +71,18 @@ HEURISTIC = {
     "well_corroborated": "heuristic_well_corroborated",
     "implausible": "heuristic_implausible",
 }
-INPUT_COLUMNS = (
+# one row per entity and capability: what changes with the capability
+ROW_COLUMNS = (
     "unique_id",
     "capability",
     "name",
+    "input_snapshot_ts",
+    "evidence_fingerprint",
+    *HEURISTIC.values(),
+)
+# one row per entity: the evidence all its capabilities share
+EVIDENCE_COLUMNS = (
+    "unique_id",
     "facility_type",
     "operator_type",
     "district_norm",
@@ -84,9 +94,6 @@ INPUT_COLUMNS = (
     "num_doctors",
     "capacity_beds",
     "source_content_id",
-    "input_snapshot_ts",
-    "evidence_fingerprint",
-    *HEURISTIC.values(),
     "n_source_urls",
     "official_website",
     "staff_present",
@@ -94,8 +101,6 @@ INPUT_COLUMNS = (
     "source",
     "citation_urls",
     "source_types_arr",
-    "citation_urls_json",
-    "source_types_json",
     "capability_raw",
     "specialties_raw",
     "procedure_raw",
@@ -108,8 +113,9 @@ INPUT_COLUMNS = (
     "claim_text",
     "prose_text",
     "full_text",
-    "llm_input_json",
 )
+# what a rendered input has besides
+RENDERED = ("citation_urls_json", "source_types_json", "llm_input_json")
 
 
 def _part(name: str) -> str:
@@ -207,16 +213,28 @@ def _payload() -> Column:
 def inputs(
     graded: DataFrame, snapshot_ts: datetime | str | None = None, evidence_only: bool = False
 ) -> DataFrame:
-    """Review input rows from graded rows, with fingerprint and nested payload."""
+    """Review input rows from graded rows: keys, fingerprint and heuristic verdict, no texts."""
     stamped = with_fingerprint(graded, evidence_only).withColumn("input_snapshot_ts", snapshot(snapshot_ts))
-    return (
-        stamped.withColumns(
-            {
-                "citation_urls_json": F.to_json("citation_urls"),
-                "source_types_json": F.to_json("source_types_arr"),
-                "llm_input_json": _payload(),
-            }
-        )
-        .withColumnsRenamed(HEURISTIC)
-        .select(*INPUT_COLUMNS)
+    return stamped.withColumnsRenamed(HEURISTIC).select(*ROW_COLUMNS)
+
+
+def evidence(profiles: DataFrame) -> DataFrame:
+    """The evidence behind the inputs, once per entity."""
+    named = profiles.withColumnsRenamed(RENAMED).withColumnRenamed("source_urls_arr", "citation_urls")
+    return named.select(*EVIDENCE_COLUMNS)
+
+
+def render(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """Input rows with their entity's evidence and the nested payload, for those who ask for it.
+
+    ``rows`` are rows of ``inputs``, all or some, and ``shared`` is ``evidence``.
+    """
+    whole = rows.join(shared, "unique_id").withColumnsRenamed({new: old for old, new in HEURISTIC.items()})
+    made = whole.withColumns(
+        {
+            "citation_urls_json": F.to_json("citation_urls"),
+            "source_types_json": F.to_json("source_types_arr"),
+            "llm_input_json": _payload(),
+        }
     )
+    return made.withColumnsRenamed(HEURISTIC).select(*ROW_COLUMNS, *EVIDENCE_COLUMNS[1:], *RENDERED)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimgrade.functions.text import blank_to_null
 from claimgrade.operators.clean import first_per
+from claimgrade.review.inputs import render
 
 KEY = ["unique_id", "capability"]
 
@@ -70,13 +71,14 @@ def pending(
     ``mode='entity'`` all rows of the first ``limit`` entities. Without a limit all
     pending rows are returned, unsorted: the caller runs them in one distributed pass.
     ``failed`` holds keys that were given up in this run and are not taken again.
+
+    Works on keys and fingerprints alone; texts are put to the rows that are left.
     """
     rows = inputs.select(
         *KEY,
         F.col("name").alias("facility_name"),
         "evidence_fingerprint",
         F.date_format("input_snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("source_snapshot_ts"),
-        "llm_input_json",
     )
     if capability is not None:
         rows = rows.where(F.col("capability") == capability)
@@ -131,10 +133,16 @@ def batches(pending_rows: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
-def single_requests(pending_rows: DataFrame) -> DataFrame:
-    """One request per row, in the same shape as :func:`batches`."""
+def single_requests(pending_rows: DataFrame, inputs: DataFrame, shared: DataFrame) -> DataFrame:
+    """One request per row, in the same shape as :func:`batches`.
+
+    The payload is made for the pending rows only, from their ``inputs`` and the
+    evidence of their entity.
+    """
     item = F.struct("capability", "evidence_fingerprint", "source_snapshot_ts")
-    return pending_rows.select(
+    chosen = inputs.join(pending_rows.select(*KEY), KEY, "left_semi")
+    payloads = render(chosen, shared).select(*KEY, "llm_input_json")
+    return pending_rows.join(payloads, KEY).select(
         "unique_id",
         "facility_name",
         F.array(item).alias("requested"),
