@@ -33,7 +33,6 @@ CARRIED = {
     "latitude": "latitude",
     "longitude": "longitude",
 }
-SALTS = 64
 PARSED_ARRAYS = {
     "capability": "capability_arr",
     "specialties": "specialties_arr",
@@ -101,7 +100,8 @@ def typed(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
         "try_cast(address_zipOrPostcode AS bigint) AS pincode",
         "affiliated_staff_presence = 'true' AS staff_present",
         "custom_logo_presence = 'true' AS logo_present",
-        f"{SOURCE_COUNT} AS n_source_urls",
+        # the choice of the richest row has counted already
+        "n_source_urls" if "n_source_urls" in raw.columns else f"{SOURCE_COUNT} AS n_source_urls",
     ]
     return raw.select(
         *[F.expr(e) for e in (*plain, *parsed, *counts)],
@@ -164,17 +164,11 @@ def quarantine(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
 def _duplicate_ids(raw: DataFrame, cfg: GradingConfig) -> DataFrame:
     counted = raw.where(is_valid(cfg)).withColumn("n_source_urls", F.expr(SOURCE_COUNT))
     clusters = first_per(counted, [F.coalesce("cluster_id", "unique_id")], _richest())
-    # Two ranks, so that an id shared by very many clusters is not ranked in one task:
-    # first within a salt, then among the at most SALTS heads of those groups.
-    salt = F.pmod(F.xxhash64("cluster_id", "source_content_id"), F.lit(SALTS))
-    within = Window.partitionBy("unique_id", "_salt").orderBy(*_richest())
-    heads = Window.partitionBy("unique_id", "_group").orderBy(*_richest())
-    return (
-        clusters.withColumn("_salt", salt)
-        .withColumn("_first", F.row_number().over(within))
-        .withColumn("_group", F.when(F.col("_first") == 1, -1).otherwise(F.col("_salt")))
-        .withColumn("_second", F.row_number().over(heads))
-        .where("_first > 1 OR _second > 1")
-        .drop("_salt", "_first", "_group", "_second", "n_source_urls")
-        .withColumn("reason", F.lit("duplicate_id"))
-    )
+    # One row per cluster is left, so the cluster tells the rows of an id apart. The winner of an
+    # id is found on narrow columns, one row per task and id; the others meet it in a join, which
+    # does not rank or hold the rows of an id that very many clusters share.
+    keyed = clusters.withColumn("_key", F.coalesce("cluster_id", "unique_id"))
+    narrow = keyed.select("_key", "unique_id", "n_source_urls", "source_content_id")
+    heads = first_per(narrow, [F.col("unique_id")], _richest()).select("unique_id", F.col("_key").alias("_head"))
+    lost = keyed.join(heads, "unique_id").where("_key <> _head")
+    return lost.select(*raw.columns).withColumn("reason", F.lit("duplicate_id"))

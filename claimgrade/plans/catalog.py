@@ -78,6 +78,15 @@ class Stages:
     def entities(self) -> DataFrame:
         return clean.entities(self.raw())
 
+    @stage
+    def story_profiles(self) -> DataFrame:
+        """Entities whose texts are whole documents and conversations."""
+        return geo.resolve(clean.entities(self.raw("raw_documents")), self.bridge())
+
+    @stage
+    def stories(self) -> DataFrame:
+        return grading.grade(self.story_profiles(), as_of=testdata.AS_OF)
+
     @stage
     def bridge(self) -> DataFrame:
         return reference_data.bridge(self.raw("raw_pincode_directory"))
@@ -402,6 +411,22 @@ def evidence_readback(s: Stages) -> DataFrame:
     )
 
 
+@query
+def story_grades(s: Stages) -> DataFrame:
+    return s.stories().select(
+        "unique_id", "capability", "tier", "score", "structured_hit", "claim_hit", "prose_hit", "screening_only", "explanation"
+    )
+
+
+@query
+def story_payload(s: Stages) -> DataFrame:
+    """Fingerprint and payload over whole texts, read back."""
+    inputs = review_inputs.inputs(s.stories(), testdata.SNAPSHOT_TS)
+    texts = ("source_evidence.description", "source_evidence.claim_text", "source_evidence.full_text")
+    rendered = review_inputs.render(inputs, review_inputs.evidence(s.story_profiles()))
+    return rendered.select("unique_id", "capability", "evidence_fingerprint", *fields("llm_input_json", *texts))
+
+
 # --- review: selection -----------------------------------------------------------
 
 

@@ -87,9 +87,8 @@ CASE
 END
 """
 
-CTES: dict[str, str] = {
-    name: text.replace(f"@{table}", table) for name, (text, table) in testdata.SOURCES.items()
-}
+_TABLE = re.compile(rf"@({'|'.join(testdata.COLUMNS)})\b")
+CTES: dict[str, str] = {name: _TABLE.sub(r"\1", text) for name, (text, _) in testdata.SOURCES.items()}
 CTES["synonyms"] = f"SELECT * FROM (VALUES {_SYNONYMS}) s(word, canonical)"
 CTES["lexicon"] = (
     f"SELECT * FROM (VALUES {_LEXICON}) l(capability, structured, prefixes, claim, prose, disease, treatment, acute)"
@@ -472,23 +471,25 @@ FROM mart m LEFT JOIN in_force o ON o.unique_id = m.unique_id AND o.capability =
 ORACLES: dict[str, str] = {}
 
 
-def _with(select: str) -> str:
+def _with(select: str, raw: str = "raw_facilities") -> str:
     """Put the sub-queries a text needs in front of it, in order of definition."""
-    names = list(CTES)
+    names = [n for n in CTES if n not in ("raw_facilities", "raw_documents") or n == raw]
     needed: set[str] = set()
     open_texts = [(select, len(names))]
     while open_texts:
         text, before = open_texts.pop()
         for i, name in enumerate(names[:before]):
-            if name not in needed and re.search(rf"\b(?:FROM|JOIN|,)\s+{name}\b", text):
+            asked = "raw_facilities" if name == raw else name
+            if name not in needed and re.search(rf"\b(?:FROM|JOIN|,)\s+{asked}\b", text):
                 needed.add(name)
                 open_texts.append((CTES[name], i))
     chain = [f"{n} AS MATERIALIZED ({CTES[n]})" for n in names if n in needed]
     return f"WITH {', '.join(chain)}\n{select}" if chain else select
 
 
-def _oracle(name: str, select: str) -> None:
-    ORACLES[name] = _with(select)
+def _oracle(name: str, select: str, raw: str = "raw_facilities") -> None:
+    """``raw`` names the raw table that stands for the facilities."""
+    ORACLES[name] = re.sub(r"\bFROM raw_facilities\b", f"FROM {raw}", _with(select, raw))
 
 
 _IDS = "unique_id, capability"
@@ -575,6 +576,16 @@ _oracle(
     " structured_hit, claim_hit, prose_hit, screening_only, well_corroborated, implausible, n_source_urls,"
     f" official_website, staff_present, {_joined('source_urls_arr')} AS citation_urls FROM graded",
 )
+_oracle(
+    "story_grades",
+    f"SELECT {_IDS}, tier, score, structured_hit, claim_hit, prose_hit, screening_only, explanation FROM graded",
+    "raw_documents",
+)
+_oracle(
+    "story_payload",
+    f"SELECT {_IDS}, evidence_fingerprint, description, claim_text, full_text FROM inputs",
+    "raw_documents",
+)
 _oracle("explain_heuristic", f"SELECT {_IDS}, tier, explanation FROM graded")
 
 

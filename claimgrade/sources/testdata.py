@@ -287,16 +287,63 @@ SELECT
 FROM (SELECT event_id, event_type, cast((event_id - event_id % 4) / 4 AS bigint) AS g FROM @events) e
 """
 
+# Whole document texts as descriptions, and conversations as claims that are no JSON: long texts
+# in several languages with odd characters, some with words of the lexicon put after them.
+RAW_DOCUMENTS = """
+SELECT
+  concat('d', cast(doc_id AS string)) AS unique_id,
+  concat('sd', cast(doc_id AS string)) AS source_content_id,
+  cast(NULL AS string) AS cluster_id,
+  concat('Story ', cast(doc_id AS string)) AS name,
+  CASE doc_id % 3 WHEN 0 THEN 'hospital' WHEN 1 THEN 'clinic' ELSE 'dentist' END AS facilityTypeId,
+  'private' AS operatorTypeId,
+  cast(doc_id % 40 AS string) AS numberDoctors,
+  cast(doc_id % 150 AS string) AS capacity,
+  said AS capability,
+  CASE doc_id % 4 WHEN 0 THEN '["criticalCareMedicine"]' WHEN 1 THEN '["medicalOncology"]' END AS specialties,
+  text AS procedure,
+  cast(NULL AS string) AS equipment,
+  CASE doc_id % 5
+    WHEN 0 THEN concat(text, ' Tumour awareness camps') WHEN 1 THEN concat('Polytrauma team and ICU beds ', text) ELSE text
+  END AS description,
+  'https://d.example' AS officialWebsite,
+  cast(NULL AS string) AS websites,
+  cast(NULL AS string) AS facebookLink,
+  source,
+  CASE WHEN doc_id % 2 = 0 THEN '["u1", "u2", "u3"]' END AS source_urls,
+  '["website"]' AS source_types,
+  'true' AS affiliated_staff_presence,
+  'false' AS custom_logo_presence,
+  cast(NULL AS string) AS distinct_social_media_presence_count,
+  '2001-05-01' AS recency_of_page_update,
+  cast(NULL AS string) AS address_line1,
+  cast(NULL AS string) AS address_line2,
+  cast(NULL AS string) AS address_line3,
+  lang AS address_city,
+  cast(NULL AS string) AS address_stateOrRegion,
+  cast(NULL AS string) AS address_zipOrPostcode,
+  'India' AS address_country,
+  'IN' AS address_countryCode,
+  cast(NULL AS double) AS latitude,
+  cast(NULL AS double) AS longitude
+FROM @documents LEFT JOIN (
+  SELECT conv_id, max(text) AS said FROM @conversations WHERE turn = 0 GROUP BY conv_id
+) c ON conv_id = doc_id
+"""
+
 # columns the texts above read; a given schema saves looking into the files first
 COLUMNS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "customer": "c_custkey bigint, c_nationkey int",
     "part": "p_partkey bigint",
     "events": "event_id bigint, ts timestamp_ntz, event_type string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "conversations": "conv_id bigint, turn bigint, text string",
 }
 
 SOURCES = {
     "raw_facilities": (RAW_FACILITIES, "orders"),
+    "raw_documents": (RAW_DOCUMENTS, "documents"),
     "raw_pincode_directory": (RAW_PINCODE_DIRECTORY, "customer"),
     "raw_district_indicators": (RAW_DISTRICT_INDICATORS, "part"),
     "responses": (RESPONSES, "events"),
@@ -316,7 +363,10 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = No
         # a given number, as small data would otherwise be put together again
         source = source.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     quoted = text.replace("{", "{{").replace("}", "}}").replace(f"@{table}", "{source}")
-    return spark.sql(quoted, source=source)
+    others = {t: spark.read.schema(c).parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t, c in COLUMNS.items() if f"@{t}" in quoted}
+    for other in others:
+        quoted = quoted.replace(f"@{other}", f"{{{other}}}")
+    return spark.sql(quoted, source=source, **others)
 
 
 def reviews(responses: DataFrame, fingerprints: DataFrame) -> DataFrame:
