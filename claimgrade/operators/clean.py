@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimgrade.config import FACILITY, GradingConfig, RegionRules
+from claimgrade.operators.geo import lookup, with_state
 
 # raw column -> entity column, for the columns that are only carried over
 CARRIED = {
@@ -69,6 +70,7 @@ def remap(c: Column, mapping: dict[str, str]) -> Column:
     return out
 
 
+PINCODE = "try_cast(address_zipOrPostcode AS bigint)"
 # 0 without a source list, NULL when the list cannot be read
 SOURCE_COUNT = "CASE WHEN source_urls IS NULL THEN 0 ELSE size(from_json(source_urls, 'array<string>')) END"
 
@@ -89,15 +91,15 @@ def text_channels(df: DataFrame) -> DataFrame:
     )
 
 
-def typed(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
-    """Raw columns -> entity columns, one to one, without text channels."""
+def typed(raw: DataFrame, cfg: GradingConfig = FACILITY, also: tuple[str, ...] = ()) -> DataFrame:
+    """Raw columns -> entity columns, one to one, without text channels; ``also`` are kept as they are."""
     plain = [f"{source} AS {entity}" for source, entity in CARRIED.items()]
     parsed = [f"from_json({source}, 'array<string>') AS {entity}" for source, entity in PARSED_ARRAYS.items()]
     counts = [
         "try_cast(numberDoctors AS int) AS num_doctors",
         "try_cast(capacity AS int) AS capacity_beds",
         "try_cast(distinct_social_media_presence_count AS int) AS social_presence_count",
-        "try_cast(address_zipOrPostcode AS bigint) AS pincode",
+        f"{PINCODE} AS pincode",
         "affiliated_staff_presence = 'true' AS staff_present",
         "custom_logo_presence = 'true' AS logo_present",
         # the choice of the richest row has counted already
@@ -107,6 +109,7 @@ def typed(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
         *[F.expr(e) for e in (*plain, *parsed, *counts)],
         remap(F.col("facilityTypeId"), cfg.type_remap).alias("facility_type"),
         region(F.col("address_stateOrRegion"), cfg.regions).alias("state_norm"),
+        *also,
     )
 
 
@@ -145,6 +148,20 @@ def entities(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     return text_channels(typed(kept, cfg))
 
 
+def profiles(raw: DataFrame, bridge: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
+    """``entities`` with district and state, resolved in between.
+
+    The place is joined after the choice within clusters and before that by id, so that
+    the rows come partitioned by id whatever way the join takes.
+    """
+    counted = raw.where(is_valid(cfg)).withColumn("n_source_urls", F.expr(SOURCE_COUNT))
+    clusters = first_per(counted, [F.coalesce("cluster_id", "unique_id")], _richest())
+    places = bridge.withColumnRenamed("pincode", "_pincode")
+    placed = lookup(clusters.withColumn("_pincode", F.expr(PINCODE)), places, "_pincode", "unique_id")
+    kept = first_per(placed, [F.col("unique_id")], _richest())
+    return with_state(text_channels(typed(kept, cfg, ("district_norm", "state_name"))))
+
+
 def quarantine(raw: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     """Rows that never become entities, each with the reason.
 

@@ -40,7 +40,11 @@ def resolve(entities: DataFrame, bridge: DataFrame) -> DataFrame:
 
     Keeps all entity columns.
     """
-    joined = lookup(entities, bridge, "pincode", "unique_id")
+    return with_state(lookup(entities, bridge, "pincode", "unique_id"))
+
+
+def with_state(joined: DataFrame) -> DataFrame:
+    """The state of the place, else the entity's own region."""
     return joined.withColumn("state_name", F.coalesce("state_name", "state_norm"))
 
 

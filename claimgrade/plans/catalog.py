@@ -81,7 +81,7 @@ class Stages:
     @stage
     def story_profiles(self) -> DataFrame:
         """Entities whose texts are whole documents and conversations."""
-        return geo.resolve(clean.entities(self.raw("raw_documents")), self.bridge())
+        return clean.profiles(self.raw("raw_documents"), self.bridge())
 
     @stage
     def stories(self) -> DataFrame:
@@ -97,7 +97,7 @@ class Stages:
 
     @stage
     def profiles(self) -> DataFrame:
-        return geo.resolve(self.entities(), self.bridge())
+        return clean.profiles(self.raw(), self.bridge())
 
     @stage
     def stored_profiles(self) -> DataFrame:

@@ -49,11 +49,11 @@ def facilities(spark):
 
 @pytest.fixture(scope="session")
 def graded_frame(spark, facilities):
-    from claimgrade.operators import clean, geo, grading
+    from claimgrade.operators import clean, grading
 
     def make(*rows: dict, as_of: str = "2024-01-01") -> DataFrame:
         bridge = spark.createDataFrame([], "pincode bigint, district_norm string, state_name string")
-        profiles = geo.resolve(clean.entities(facilities(*rows)), bridge)
+        profiles = clean.profiles(facilities(*rows), bridge)
         return grading.grade(profiles, as_of=as_of)
 
     return make
