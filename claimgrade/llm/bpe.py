@@ -18,7 +18,6 @@ pending bytes.
 from __future__ import annotations
 
 import codecs
-import functools
 import heapq
 import json
 from collections.abc import Iterable, Iterator
@@ -29,12 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from claimgrade.llm.common import with_arrow_columns
+from claimgrade.llm.common import kept, with_arrow_columns
 
 # characters taken from a text at a time
 PIECE = 1 << 16
 # words whose ids are remembered per Python worker; beyond it the memory starts anew
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 # characters of texts whose new words are merged together
 TOGETHER = 1 << 20
 # bytes of pre-tokens that are merged many at a time, by class
@@ -370,10 +369,12 @@ def encode_pieces(pieces: Iterable[str], vocabulary: Vocabulary, words=None) ->
     yield encoder.finish()
 
 
-@functools.lru_cache(maxsize=2)
 def _loaded(path: str) -> tuple[Vocabulary, tuple[_Words, _Words]]:
-    vocabulary = Vocabulary(path)
-    return vocabulary, (_Words(vocabulary, True), _Words(vocabulary))
+    def build():
+        vocabulary = Vocabulary(path)
+        return vocabulary, (_Words(vocabulary, True), _Words(vocabulary))
+
+    return kept(("bpe", path), build)
 
 
 def _batches(column: pa.Array) -> Iterator[list[str]]:

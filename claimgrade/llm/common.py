@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,8 +19,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 SETTINGS = {
     # whole texts travel in these batches: bound their rows and bytes
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    # stored tables are read once or twice and then never again: small is better than fast
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
@@ -39,6 +42,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, f"llm-{label}")
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of steps whose results are stored. It does so when their
+    plans are collected as garbage, which may otherwise come after the disk is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+_KEPT: list[tuple[object, object]] = []
+
+
+def kept(key: object, build: Callable[[], object]) -> object:
+    """What ``build`` makes, remembered by this Python worker until it needs another thing.
+
+    Workers live on from stage to stage: one model at a time bounds their memory.
+    """
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()
+        _KEPT.append((key, build()))
+    return _KEPT[0][1]
+
+
 def parts(rows: int, per_part: int, least: int) -> int:
     """How many parts hold ``rows`` at ``per_part`` each, at least ``least``."""
     return max(least, -(-rows // per_part))

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from claimgrade.llm.common import with_arrow_columns
+from claimgrade.llm.common import kept, with_arrow_columns
 
 # Bound of the labelled sample: so many characters, from at most so many rows, per language.
-SAMPLE_CHARS = 32_768
+SAMPLE_CHARS = 16_384
 SAMPLE_ROWS = 64
 # Letters that have a class of their own; rarer ones share one of BLOCKS classes by Unicode block.
 LETTERS = 256
@@ -187,11 +187,6 @@ class Parser:
         return names, np.where(letters, score, 0.0)
 
 
-@functools.lru_cache(maxsize=2)
-def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(dict(samples))
-
-
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1).
 
@@ -203,7 +198,7 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", keep:
     model = tuple(sorted(samples.items()))
 
     def make():
-        parser = _parser(model)
+        parser = kept(("language", model), lambda: Parser(dict(model)))
 
         def function(column: pa.Array) -> list[pa.Array]:
             names, score = parser.predict(column.to_pylist())

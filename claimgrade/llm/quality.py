@@ -8,7 +8,6 @@ by exact cosine products in blocks; its nearest neighbours vote, weighted by sim
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimgrade.llm.common import with_arrow_columns
+from claimgrade.llm.common import kept, with_arrow_columns
 
 # Bound of the labelled sample, in rows. It bounds what is broadcast: so many vectors of RANK.
 SAMPLE = 3000
@@ -53,9 +52,8 @@ class _Codes(dict):
         return code
 
 
-@functools.cache
 def _codes() -> _Codes:
-    return _Codes()
+    return kept("word codes", _Codes)
 
 
 def counts(text: str | None) -> np.ndarray:
