@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimgrade.llm.common import WORD, stored, unused
+from claimgrade.llm.common import WORD, shuffle_parts, stored, unused
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -171,11 +171,18 @@ def mix(
     copies = done.select("id", "size", "source_size", "target", (F.col("whole") + F.col("chance").cast("long")).alias("copies"))
     if keep is not None and set(own) <= {doc_id}:
         return copies.select(*[F.col("id").alias(c) for c in own], *added)
-    # repeated rows of an id: the choices of its rows stand in the same order as the rows
-    numbered = copies.withColumn("row", F.row_number().over(Window.partitionBy("id", "size").orderBy("copies", "source_size", "target")))
-    stated = measured.withColumn("__row", F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`"), "size").orderBy(F.col(f"`{source}`"))))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("id")) & (F.col("size") == F.col("size2")) & (F.col("__row") == F.col("row"))
-    return stated.join(numbered.withColumnRenamed("size", "size2"), same).select(*[F.col(f"`{c}`") for c in own], "size", "source_size", "target", "copies")
+    # Repeated rows of an id and size: their choices meet them in order of the source. The texts
+    # move once, by the hash of both; that is never null, so window and join agree on it.
+    given = unused(measured, "source_size", "target", "copies").withColumn("__key", F.xxhash64(F.col(f"`{doc_id}`"), "size"))
+    order = Window.partitionBy("__key", F.col(f"`{doc_id}`"), "size").orderBy(F.col(f"`{source}`").asc_nulls_last())
+    stated = given.repartition(shuffle_parts(docs.sparkSession), "__key").withColumn("__row", F.row_number().over(order))
+    order = Window.partitionBy("id", "size").orderBy("rank", "copies")
+    numbered = done.select("id", "size", "rank", "source_size", "target", (F.col("whole") + F.col("chance").cast("long")).alias("copies"))
+    numbered = numbered.withColumn("__row", F.row_number().over(order)).withColumn("__key", F.xxhash64("id", "size"))
+    numbered = numbered.select("__key", "__row", F.col("id").alias("__id"), F.col("size").alias("__size"), "source_size", "target", "copies")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("size") == F.col("__size"))
+    matched = stated.join(stored(numbered, "copies"), ["__key", "__row"]).where(same)
+    return matched.select(*[F.col(f"`{c}`") for c in own], "size", "source_size", "target", "copies")
 
 
 def _settle(seed: int):

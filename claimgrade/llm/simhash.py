@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimgrade.llm.common import shuffle_parts, stored, with_arrow_columns
+from claimgrade.llm.common import shuffle_parts, stored, unused, with_arrow_columns
 from claimgrade.llm.graph import components
 
 SEED = 42
@@ -166,11 +166,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     columns = docs.columns if keep is None else keep
     own = [c for c in columns if c.lower() not in ("simhash", "component_id")]
-    marked = stored(fingerprints(docs, text, width, list(dict.fromkeys([*own, doc_id]))), "fingerprints")
+    # what is compared is narrow: the texts move once, at the end, and rows are told apart by id and
+    # the hash of the text
+    tagged = unused(docs, "simhash", "component_id", "__tag").withColumn("__tag", F.xxhash64(F.col(f"`{text}`")))
+    marked = stored(fingerprints(tagged, text, width, [doc_id, "__tag"]), "fingerprints")
     nodes = stored(marked.groupBy(F.col("simhash").alias("fp")).agg(F.min(doc_id).alias("first")), "nodes")
     labels = components(stored(fingerprint_links(nodes, radius), "links"))
     grouped = labels.select(F.col("node").alias("fp"), "component")
     smallest = nodes.join(grouped, "fp").groupBy("component").agg(F.min("first").alias("smallest"))
     linked = stored(grouped.join(stored(smallest, "smallest"), "component").select("fp", "smallest"), "linked")
     ids = stored(nodes.join(linked, "fp", "left").select(F.col("fp").alias("simhash"), F.coalesce("smallest", "first").alias("component_id")), "ids")
-    return marked.join(ids, "simhash", "left").select(*[F.col(f"`{c}`") for c in own], "simhash", "component_id")
+    found = marked.join(ids, "simhash", "left")
+    if set(own) <= {doc_id}:
+        return found.select(*own, "simhash", "component_id")
+    found = stored(found.select(F.col(f"`{doc_id}`").alias("__id"), "__tag", "simhash", "component_id").distinct(), "found")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (tagged["__tag"] == found["__tag"])
+    return tagged.join(found, same).select(*[F.col(f"`{c}`") for c in own], "simhash", "component_id")
