@@ -6,15 +6,16 @@ have equal anchors at different places, so only segments whose anchor occurs mor
 and each anchor's segments go to one shard, where equal segments are one, kept at its first place. A shard is a
 compressed FM-index over its segments (``fmindex``). Its segments stream through it backwards, and
 an interval at the threshold length gives the first place of the same words. Segments of a very
-frequent anchor are cut into single windows, which are dealt by their content.
-
-Words are compared by 64-bit hashes.
+frequent anchor are cut into single windows, which are dealt by their content. Hashes choose
+anchors and shards, and a 128-bit hash names a segment's content when its other places are listed;
+the index compares words as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimgrade.llm.common import parts, shuffle_parts, stored
+from claimgrade.llm.common import parts, release, shuffle_parts, stored
 from claimgrade.llm.fmindex import FMIndex, window_intervals
 
 WIDTH = 20
@@ -32,6 +33,9 @@ ANCHOR = 5
 FREQUENT = 4096
 # words of a shard, about
 SHARD = 400_000
+# words of the texts that are looked at together
+TOGETHER = 1 << 20
+_PLACE = np.uint64((1 << 24) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -44,39 +48,46 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _K1
-    return (x ^ (x >> np.uint64(29))) * _K2
-
-
 def _runs(h: np.ndarray, width: int) -> np.ndarray:
     """A hash of every run of ``width`` words."""
     out = np.zeros(len(h) - width + 1, np.uint64)
     for k in range(width):
-        out = _mix(out * _K2 + h[k : len(h) - width + 1 + k])
-    return out
+        out = out * _K1 + h[k : len(h) - width + 1 + k]
+    out ^= out >> np.uint64(31)
+    out *= _K2
+    return out ^ (out >> np.uint64(29))
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
-    """Place of the minimum of every ``width`` consecutive entries, the leftmost of equal ones."""
-    place, done = np.arange(len(x)), 1
+    """Minimum of every ``width`` consecutive entries."""
+    done = 1
     while done < width:
         step = min(done, width - done)
-        left, right = place[:-step], place[step:]
-        place = np.where(x[left] <= x[right], left, right)
+        x = np.minimum(x[:-step], x[step:])
         done += step
-    return place
+    return x
 
 
-def segments(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, anchor) of the segments of a text with word hashes ``h``."""
+def segments(h: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, anchor) of the segments of texts with word hashes ``h``, the
+    texts one after the other, with ``sizes`` words each, at most 2**24 together."""
+    none = np.zeros(0, np.int64)
     if len(h) < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none, none, none, none
     run = min(ANCHOR, width)
     runs = _runs(h, run)
-    place = _least(runs, width - run + 1)
-    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return starts, np.diff(np.r_[starts, len(place)]), runs[place[starts]].view(np.int64)
+    # hash above, place below: the smallest hash wins, and of equal ones the leftmost
+    placed = (runs & ~_PLACE) | np.arange(len(runs), dtype=np.uint64)
+    place = (_least(placed, width - run + 1) & _PLACE).astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(sizes)), sizes)[: len(place)]
+    at = np.arange(len(place)) - begin[text]
+    # a window lies in one text; windows of one text that share the place of their anchor are a segment
+    whole = at + width <= sizes[text]
+    first = whole & np.r_[True, (place[1:] != place[:-1]) | (text[1:] != text[:-1])]
+    starts = np.flatnonzero(first)
+    ends = np.minimum(np.r_[starts[1:], len(place)], begin[text[starts]] + sizes[text[starts]] - width + 1)
+    return text[starts], at[starts], ends - starts, runs[place[starts]].view(np.int64)
 
 
 def _anchors(docs: DataFrame, width: int) -> DataFrame:
@@ -84,47 +95,72 @@ def _anchors(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [segments(hashes(split(t.as_py())), width) for t in batch.column(2)]
-            sizes = [len(f[0]) for f in found]
-            at, windows, anchor = (np.concatenate([*(f[k] for f in found), np.zeros(0, np.int64)]) for k in range(3))
-            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(anchor)],
-                names=["id", "tag", "at", "windows", "anchor"],
-            )
+            words, rows, before, size = [], [], [], 0
+            for i, t in enumerate(batch.column(2)):
+                text = split(t.as_py())
+                # a very long text in parts that overlap by less than a window
+                for at in range(0, max(1, len(text) - width + 1), TOGETHER):
+                    words.append(text[at : at + TOGETHER + width - 1])
+                    rows.append(i)
+                    before.append(at)
+                    size += len(words[-1])
+                    if size >= TOGETHER:
+                        yield record(batch, words, rows, before)
+                        words, rows, before, size = [], [], [], 0
+            yield record(batch, words, rows, before)
+
+    def record(batch: pa.RecordBatch, words: list[list[bytes]], rows: list[int], before: list[int]) -> pa.RecordBatch:
+        sizes = np.array([len(w) for w in words], np.int64)
+        text, at, windows, anchor = segments(hashes(list(chain.from_iterable(words))), sizes, width)
+        taken = pa.array(np.array(rows, np.int64)[text])
+        at = at + np.array(before, np.int64)[text]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(at.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(anchor)],
+            names=["id", "tag", "at", "windows", "anchor"],
+        )
 
     return docs.select("id", "tag", "text").mapInArrow(run, "id long, tag int, at int, windows int, anchor long")
 
 
 def _bodies(wanted: DataFrame, width: int) -> DataFrame:
-    """Word hashes of the wanted segments: (id, tag, at, windows, bin, body), frequent anchors
+    """Words of the wanted segments, joined by one space: (id, tag, at, windows, bin, kind, body), frequent anchors
     one window at a time; ``bin`` says where equal windows meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for doc, tag, text, found in zip(*(c for c in batch.columns), strict=True):
-                h = hashes(split(text.as_py()))
-                doc, tag = doc.as_py(), tag.as_py()
-                for s in found.as_py():
-                    at, windows, bin_ = s["at"], s["windows"], s["anchor"]
-                    pieces = [(at, windows, bin_)]
-                    if s["frequent"]:
-                        pieces = [(a, 1, xxhash.xxh3_64_intdigest(h[a : a + width].tobytes()) - (1 << 63)) for a in range(at, at + windows)]
-                    for a, n, b in pieces:
-                        for column, value in zip(out, (doc, tag, a, n, b, h[a : a + n + width - 1].tobytes()), strict=True):
-                            column.append(value)
-                if len(out[0]) >= 50_000:
-                    yield record(out)
-                    out = [[] for _ in range(6)]
-            yield record(out)
-
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-
-    def record(out: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "tag", "at", "windows", "bin", "body"])
-
-    return wanted.select("id", "tag", "text", "found").mapInArrow(run, "id long, tag int, at int, windows int, bin long, body binary")
+            lists = batch.column(3)
+            found, many = lists.flatten(), lists.value_lengths().to_numpy()
+            at, windows, bin_, frequent = (found.field(f).to_numpy(zero_copy_only=False) for f in ("at", "windows", "anchor", "frequent"))
+            # a segment of a frequent anchor becomes a row per window
+            times = np.where(frequent, windows, 1)
+            start = np.repeat(np.cumsum(times) - times, times)
+            row = np.repeat(np.repeat(np.arange(batch.num_rows), many), times)
+            at, bin_, frequent = (np.repeat(x, times) for x in (at, bin_, frequent))
+            windows = np.where(frequent, 1, np.repeat(windows, times))
+            at = at + np.arange(len(at)) - start
+            edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            bodies: list[bytes] = []
+            for i, text in enumerate(batch.column(2)):
+                words, own = split(text.as_py()), slice(edge[i], edge[i + 1])
+                ends = (at[own] + windows[own] + width - 1).tolist()
+                bodies += [b" ".join(words[a:b]) for a, b in zip(at[own].tolist(), ends, strict=True)]
+            single = np.flatnonzero(frequent)
+            bin_[single] = np.array([xxhash.xxh3_64_intdigest(bodies[i]) for i in single.tolist()], np.uint64).view(np.int64)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(windows.astype(np.int32)),
+                    pa.array(bin_),
+                    pa.array([xxhash.xxh3_128_digest(b) for b in bodies], pa.binary()),
+                    pa.array(bodies, pa.binary()),
+                ],
+                names=["id", "tag", "at", "windows", "bin", "kind", "body"],
+            )
+
+    return wanted.select("id", "tag", "text", "found").mapInArrow(run, "id long, tag int, at int, windows int, bin long, kind binary, body binary")
 
 
 def _matched(width: int):
@@ -133,14 +169,14 @@ def _matched(width: int):
 
     def function(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["id", "tag", "at"], kind="stable")
-        bodies = [np.frombuffer(b, np.uint64) for b in rows["body"]]
+        bodies = [b.split(b" ") for b in rows["body"]]
         length = np.array([len(b) for b in bodies])
         begin = np.cumsum(length + 1) - length - 1
         flat = np.zeros(length.sum() + len(length), np.int64)
         inside = np.ones(len(flat), bool)
         inside[begin + length] = False
-        words, code = np.unique(np.concatenate(bodies), return_inverse=True)
-        flat[inside] = code + 2
+        words = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(bodies)), 2)}
+        flat[inside] = np.fromiter(map(words.__getitem__, chain.from_iterable(bodies)), np.int64)
         flat[~inside] = 1  # ends a segment; no window contains it
         # places in the order of document and word
         doc = np.repeat((rows["id"].ne(rows["id"].shift()) | rows["tag"].ne(rows["tag"].shift())).cumsum().to_numpy(), length + 1)
@@ -172,18 +208,26 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, Da
     wanted = anchors.join(counts, "anchor").groupBy("id", "tag").agg(F.collect_list(F.struct("at", "windows", "anchor", "frequent")).alias("found"))
     wanted = stored(docs.join(stored(wanted, "wanted"), ["id", "tag"]), "texts")
     bodies = stored(_bodies(wanted, width), "bodies")
+    del anchors
+    release(spark)
     first = F.min(F.struct("id", "tag", "at")).alias("first")
-    kinds = stored(bodies.groupBy("bin", "body").agg(first, F.count("*").alias("n")), "segments")
+    kinds = stored(bodies.groupBy("kind", "bin", "body").agg(first, F.count("*").alias("n")), "segments")
     # all places of a segment but the first repeat it whole
-    many = kinds.where("n > 1").select("bin", "body", "first")
+    many = kinds.where("n > 1").select("kind", "first")
     copies = (
-        bodies.join(many, ["bin", "body"])
+        bodies.select("id", "tag", "at", "windows", "kind")
+        .join(many, "kind")
         .where("NOT (id = first.id AND tag = first.tag AND at = first.at)")
         .select("id", "tag", "at", "windows")
     )
-    size = kinds.agg(F.sum(F.length("body") / 8 + 1)).first()[0] or 0
+    # a window stands in another segment only if that has the same anchor: anchors of one segment
+    # are done, the others go to the index
+    release(spark)
+    several = stored(kinds.groupBy("bin").agg(F.count("*").alias("k")).where("k > 1").select("bin"), "bins")
+    met = stored(kinds.join(several, "bin").select("bin", "first", "body"), "met")
+    size = met.agg(F.sum(F.size(F.split(F.col("body").cast("string"), " ")) + 1)).first()[0] or 0
     shards = parts(int(size), SHARD, shuffle_parts(spark))
-    dealt = kinds.select("first.*", "body", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"))
+    dealt = met.select("first.*", "body", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"))
     inner = dealt.groupBy("shard").applyInPandas(_matched(width), "id long, tag int, at int, windows int")
     return copies.unionAll(inner), wanted.select("id", "tag", "text")
 
@@ -215,8 +259,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     own = own.withColumn("id", F.coalesce("given", F.lit(-(2**63)))).withColumn("tag", F.hash("text"))
     found, texts = repeated_windows(own.select("id", "tag", "text"), width)
     runs = stored(found.groupBy("id", "tag").agg(F.collect_list(F.struct("at", "windows")).alias("runs")), "runs")
-    changed = texts.dropDuplicates(["id", "tag"]).join(runs, ["id", "tag"]).mapInArrow(_digests(width, True), _SCHEMA)
-    changed = stored(changed, "changed")
+    del found
+    release(docs.sparkSession)
+    # rows that share id and text have one result; the narrow results are made distinct, not the texts
+    changed = stored(texts.join(runs, ["id", "tag"]).mapInArrow(_digests(width, True), _SCHEMA).dropDuplicates(["id", "tag"]), "changed")
     whole = own.select("id", "tag", "text").mapInArrow(_digests(width, False), _SCHEMA)
     renamed = changed.select("id", "tag", *[F.col(c).alias(f"{c}_") for c in _RESULT])
     out = whole.join(renamed, ["id", "tag"], "left")

@@ -74,6 +74,7 @@ def test_passages_of_any_kind(spark, monkeypatch, frequent, shard):
     tune(spark)
     monkeypatch.setattr(substring, "FREQUENT", frequent)
     monkeypatch.setattr(substring, "SHARD", shard)
+    monkeypatch.setattr(substring, "TOGETHER", 64 if frequent == 40 else 1 << 20)
     texts = random_texts(frequent, 120)
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     check_removal(substring.remove_repeats(frame.repartition(3)), texts)
