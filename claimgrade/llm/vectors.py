@@ -5,7 +5,7 @@ per group and pivot, bring together the vectors that have a pivot in common; two
 share at least ``SHARED`` of their ``NEAREST`` pivots are candidates and are verified by their
 cosine in double precision. A pair is counted in one place only: the list of the smallest pivot
 it shares. A list too long for one task is replaced by lists of every ``SHARED`` pivots that
-begin with it, and one that is still too long is compared in blocks that go to tasks of their own.
+begin with it (fewer where a table has fewer pivots), and one that is still too long is compared in blocks that go to tasks of their own.
 Links are counted, and a forest of them is kept for the components; pairs are never listed.
 """
 
@@ -143,8 +143,14 @@ def _lists(described: DataFrame, least: int) -> DataFrame:
     short = one.join(long, key, "left_anti")
     rest = spread.join(long, key, "left_semi")
     ordered = F.sort_array(F.filter("near", lambda p: p > F.element_at("pivots", 1)))
-    tails = F.array(*[F.array(*[F.get(ordered, F.lit(i)) for i in c]) for c in combinations(range(NEAREST - 1), least - 1)])
-    tails = F.filter(tails, lambda t: F.forall(t, lambda p: p.isNotNull()))
+
+    def tails(n: int) -> F.Column:
+        found = F.array(*[F.array(*[F.get(ordered, F.lit(i)) for i in c]) for c in combinations(range(NEAREST - 1), n)])
+        return F.filter(found.cast("array<array<int>>"), lambda t: F.forall(t, lambda p: p.isNotNull()))
+
+    # a table with fewer pivots has fewer to share, as in _compare
+    shared = F.least(F.lit(least), F.size("near"))
+    tails = F.coalesce(*[F.when(shared == n + 1, tails(n)) for n in range(least)])
     rest = rest.withColumn("tail", F.explode(tails)).withColumn("pivots", F.concat("pivots", "tail")).drop("tail")
     rest = stored(rest, "split-lists")
     sizes = stored(rest.groupBy(*key).agg(F.expr(f"(count(*) - 1) div {LIST} + 1").cast("int").alias("blocks")), "list-sizes")
