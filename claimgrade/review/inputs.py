@@ -229,7 +229,9 @@ def render(rows: DataFrame, shared: DataFrame) -> DataFrame:
 
     ``rows`` are rows of ``inputs``, all or some, and ``shared`` is ``evidence``.
     """
-    whole = rows.join(shared, "unique_id").withColumnsRenamed({new: old for old, new in HEURISTIC.items()})
+    # null-safe: an entity may have no id
+    own = shared.withColumnRenamed("unique_id", "_id")
+    whole = rows.join(own, F.col("unique_id").eqNullSafe(F.col("_id"))).drop("_id").withColumnsRenamed({new: old for old, new in HEURISTIC.items()})
     made = whole.withColumns(
         {
             "citation_urls_json": F.to_json("citation_urls"),

@@ -126,7 +126,7 @@ def batches(pending_rows: DataFrame, profiles: DataFrame) -> DataFrame:
         F.col("_shared").alias("shared_source_evidence"),
     )
     return (
-        grouped.join(described, "unique_id")
+        grouped.join(described.withColumnRenamed("unique_id", "_id"), F.col("unique_id").eqNullSafe(F.col("_id")))
         .withColumn("capabilities", capabilities)
         .withColumn("llm_input_json", F.to_json(payload))
         .select("unique_id", "facility_name", "requested", "capabilities", "llm_input_json")
@@ -140,9 +140,12 @@ def single_requests(pending_rows: DataFrame, inputs: DataFrame, shared: DataFram
     evidence of their entity.
     """
     item = F.struct("capability", "evidence_fingerprint", "source_snapshot_ts")
-    chosen = inputs.join(pending_rows.select(*KEY), KEY, "left_semi")
-    payloads = render(chosen, shared).select(*KEY, "llm_input_json")
-    return pending_rows.join(payloads, KEY).select(
+    asked = pending_rows.select(F.col("unique_id").alias("_id"), F.col("capability").alias("_capability"))
+    # null-safe: an entity may have no id
+    same = F.col("unique_id").eqNullSafe(F.col("_id")) & (F.col("capability") == F.col("_capability"))
+    chosen = inputs.join(asked, same, "left_semi")
+    payloads = render(chosen, shared).select(F.col("unique_id").alias("_id"), F.col("capability").alias("_capability"), "llm_input_json")
+    return pending_rows.join(payloads, same).select(
         "unique_id",
         "facility_name",
         F.array(item).alias("requested"),
