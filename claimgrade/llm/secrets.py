@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives, in DataFrame operations only.
 
-Candidates are long runs of key characters, with the text around them. Each is described by its
+Candidates are long runs of key characters, values of any kind assigned to the name of a secret,
+and passwords in URLs, with the text around them. Each is described by its
 length, its kinds of characters and the transitions between them, the share of it that words of
 the corpus cover, whether it stands in a path, and the neighbouring words. A random forest trained
 on labelled findings says which candidates are secrets.
@@ -19,7 +20,6 @@ from claimgrade.llm.common import stored
 # A candidate: so many key characters in a row
 LEAST = 16
 _KEY = "A-Za-z0-9+/_=\\-"
-_RUN = rf"(?<![{_KEY}])[{_KEY}]{{{LEAST},}}"
 _BEGIN, _END = "\x01", "\x02"
 # Characters of context that are looked at on either side
 CONTEXT = 80
@@ -34,6 +34,20 @@ NAMES = r"pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|priv
 MADE_UP = r"example|sample|dummy|test|fake|placeholder|changeme|docs?"
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{24,}|AIza[A-Za-z0-9_-]{35})$"
 
+# A value assigned to a name: quoted, or up to white space; a single character (a flag) is none.
+# Cheap looks behind come first. A run that holds its name goes on as a run if the value does.
+_SIGN = r"[\"']?[ \t]{0,8}(?:=>|:=|[:=])[ \t]{0,8}"
+_PLAIN = r"[^\s\"']+[^\s\"',;.)\]}]"
+_NAMED = rf"(?i:{NAMES})".replace("(word", "(?:word")
+_ASSIGNED = (
+    rf"(?<=[:=> \t])(?<=[:=>][ \t]{{0,8}})(?<={_NAMED}{_SIGN}){_PLAIN}"
+    rf"|(?<=\")(?<=[:=>][ \t]{{0,8}}\")(?<={_NAMED}{_SIGN}\")[^\"\r\n]{{2,}}(?=\")"
+    rf"|(?<=')(?<=[:=>][ \t]{{0,8}}')(?<={_NAMED}{_SIGN}')[^'\r\n]{{2,}}(?=')"
+)
+_IN_URL = r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@]{2,}(?=@)"
+_HIDDEN = rf"[{_KEY}]*{_NAMED}=[{_KEY}]*+[^\s\"']*[^\s\"',;.)\]}}]"
+_RUN = rf"{_ASSIGNED}|{_IN_URL}|(?<![{_KEY}])(?=[{_KEY}]{{{LEAST}}})(?!{_HIDDEN})[{_KEY}]{{{LEAST},}}"
+
 _KINDS = "uldo"
 _TRANSITIONS = [a + b for a in _KINDS for b in _KINDS if a != b]
 FEATURES = [
@@ -51,14 +65,15 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path
     marked = F.split(F.regexp_replace("t", f"({_RUN})", f"{_BEGIN}$1{_END}"), _BEGIN, -1)
     rows = found.select("doc_id", "path", marked.alias("parts")).select("doc_id", "path", "parts", F.posexplode("parts").alias("i", "part")).where("i > 0")
     before = F.aggregate(F.slice("parts", 1, F.col("i")), F.lit(0), lambda n, s: n + F.length(s))
-    previous = F.element_at("parts", F.col("i"))
-    tail = F.substring(F.substring_index(previous, _END, -1), -CONTEXT, CONTEXT)
+    # a candidate right before belongs to the context too; each has two characters at least
+    previous = F.slice("parts", F.greatest(F.col("i") - CONTEXT // 2, F.lit(1)), F.least(F.col("i"), F.lit(CONTEXT // 2 + 1)))
+    ends = F.transform(previous, lambda p: F.substring(F.replace(p, F.lit(_END), F.lit("")), -CONTEXT, CONTEXT))
+    tail = F.substring(F.array_join(ends, ""), -CONTEXT, CONTEXT)
     return rows.select(
         "doc_id",
         "path",
         (before - (F.col("i") - 1)).alias("start"),
         F.substring_index("part", _END, 1).alias("candidate"),
-        # a candidate right before belongs to the context too
         F.when(F.length(tail) > 0, tail).otherwise("").alias("left"),
         F.substring(F.substring_index("part", _END, -1), 1, CONTEXT).alias("right"),
     )
@@ -122,12 +137,16 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
 def findings(found: DataFrame) -> DataFrame:
     """``found`` with ``is_finding`` 1, 0 or null: findings that reviewers would label at sight.
     An issuer's format, or a value with digits assigned to a name of a secret, is one; a run
-    without digits, or something made up, is none. The others are not labelled."""
+    without digits that no name stands before, or something made up, is none. The others are not
+    labelled."""
     value = F.regexp_extract("candidate", r"([^=]*)=*$", 1)
     given = F.lower(F.concat("left", "candidate"))
-    named = given.rlike(rf"\b({NAMES})[\"']?\s*[:=]\s*[\"']?[a-z0-9+/_=-]+$") & F.col("candidate").rlike("[0-9]")
+    within = given.rlike(rf"\b({NAMES})[\"']?\s*[:=]\s*[\"']?[a-z0-9+/_=-]+$")
+    before = F.col("left").rlike(rf"{_NAMED}{_SIGN}[\"']?$") | F.col("left").rlike(r"://[^\s/:@]*:$")
+    digits = F.col("candidate").rlike("[0-9]")
+    named = (within | before) & digits
     made_up = F.lower("candidate").rlike(MADE_UP) | value.rlike(r"^(.)\1*$")
-    label = F.when(made_up, 0).when(F.col("candidate").rlike(ISSUED), 1).when(~F.col("candidate").rlike("[0-9]"), 0).when(named, 1)
+    label = F.when(made_up, 0).when(F.col("candidate").rlike(ISSUED), 1).when(~digits & ~before, 0).when(named, 1)
     return found.withColumn("is_finding", label.cast("double"))
 
 
