@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgrade.llm import bpe, chunks, language, mixing, quality, secrets, simhash, substring, urls, vectors
+from claimgrade.llm import audit, bpe, chunks, conversations, language, mixing, quality, secrets, simhash, substring, treebpe, urls, vectors
 from claimgrade.llm.common import table
 
 
@@ -80,6 +80,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tokens = treebpe.with_digest(treebpe.encode(table(spark, sf_dir, "documents"), path, pattern, keep=["doc_id"]))
+    return treebpe.decode(tokens, path, pattern).select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_bpe": op2_bpe,
@@ -91,6 +107,9 @@ QUERIES = {
     "op8_vectors": op8_vectors,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_tree_bpe": op12_tree_bpe,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLES = {
@@ -107,5 +126,47 @@ SELECT doc_id,
        sha256(norm) AS text_sha256
 FROM t
 WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id)
+""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), f AS (
+  SELECT w.doc_id, part,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM w
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS t
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), o(filter_order) AS (
+  SELECT ''
+  UNION ALL
+  SELECT filter_order || x FROM o, unnest(['A', 'B', 'C', 'D', 'E']) AS u(x) WHERE NOT contains(filter_order, x)
+), s AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS filter, left(filter_order, step - 1) AS before
+  FROM o, range(1, 6) AS r(step) WHERE length(filter_order) = 5
+), m AS (
+  SELECT s.*, part, n, g, t,
+         fails <> '' AND len(list_intersect(str_split(before, ''), str_split(fails, ''))) > 0 AND before <> '' AS gone,
+         contains(fails, filter) AS hit, fails = filter AS alone
+  FROM c, s
+), a AS (
+  SELECT part, filter_order, step, filter,
+         sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN gone AND hit THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN NOT gone AND hit THEN g ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN NOT gone AND hit THEN t ELSE 0 END)::BIGINT AS toxic_lost
+  FROM m GROUP BY part, filter_order, step, filter
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM a
 """,
 }
