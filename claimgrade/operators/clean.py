@@ -187,8 +187,9 @@ def _duplicate_ids(raw: DataFrame, cfg: GradingConfig) -> DataFrame:
     keyed = clusters.withColumn("_key", F.coalesce("cluster_id", "unique_id"))
     narrow = keyed.select("_key", "unique_id", "n_source_urls", "source_content_id")
     heads = first_per(narrow, [F.col("unique_id")], _richest()).select("unique_id", F.col("_key").alias("_head"))
-    lost = keyed.join(heads, "unique_id").where("_key <> _head").select(*raw.columns)
-    # rows without an id are one group too, with one head: it goes to them, they need not meet
-    head = F.broadcast(heads.where("unique_id IS NULL").select("_head"))
-    without = keyed.where("unique_id IS NULL").join(head, ~F.col("_key").eqNullSafe(F.col("_head"))).select(*raw.columns)
+    # rows without an id are one group with one head; they are dealt by cluster, and all but the head
+    # find no partner
+    lost = keyed.where("unique_id IS NOT NULL").join(heads, "unique_id").where("_key <> _head").select(*raw.columns)
+    head = heads.where("unique_id IS NULL").select("_head")
+    without = keyed.where("unique_id IS NULL").join(head, F.col("_key").eqNullSafe(F.col("_head")), "left_anti").select(*raw.columns)
     return lost.unionByName(without).withColumn("reason", F.lit("duplicate_id"))

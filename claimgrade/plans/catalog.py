@@ -128,7 +128,9 @@ class Stages:
 
     @stage
     def reviewed(self) -> DataFrame:
-        return signals.attach(self.fingerprinted(), self.reviews())
+        """Graded rows with their reviews, from profiles that are stored once for both sides."""
+        rows = review_inputs.with_fingerprint(grading.grade(self.stored_profiles(), as_of=testdata.AS_OF))
+        return signals.attach(rows, testdata.reviews(self.raw("responses"), rows))
 
     @stage
     def mart(self) -> DataFrame:
@@ -813,12 +815,12 @@ def serve_ranked_sorted(s: Stages) -> DataFrame:
 
 @query
 def serve_detail(s: Stages) -> DataFrame:
-    return serve.detail(s.mart(), s.entities()).drop("evidence_json")
+    return serve.detail(s.mart(), s.stored_profiles()).drop("evidence_json")
 
 
 @query
 def serve_detail_one(s: Stages) -> DataFrame:
-    return serve.detail(s.mart(), s.entities(), unique_id="f96", capability="icu").drop("evidence_json")
+    return serve.detail(s.mart(), s.stored_profiles(), unique_id="f96", capability="icu").drop("evidence_json")
 
 
 @query
@@ -833,17 +835,17 @@ def serve_summary(s: Stages) -> DataFrame:
 
 @query
 def serve_signals(s: Stages) -> DataFrame:
-    return texts_of(serve.signals(s.mart(), s.entities()))
+    return texts_of(serve.signals(s.mart(), s.stored_profiles()))
 
 
 @query
 def serve_signals_page(s: Stages) -> DataFrame:
-    return texts_of(serve.signals(s.mart(), s.entities(), **SHOWN))
+    return texts_of(serve.signals(s.mart(), s.stored_profiles(), **SHOWN))
 
 
 @query
 def serve_signals_one(s: Stages) -> DataFrame:
-    return texts_of(serve.signals(s.mart(), s.entities(), unique_id="f96", capability="icu"))
+    return texts_of(serve.signals(s.mart(), s.stored_profiles(), unique_id="f96", capability="icu"))
 
 
 @query

@@ -327,7 +327,8 @@ SELECT
   cast(NULL AS double) AS latitude,
   cast(NULL AS double) AS longitude
 FROM @documents LEFT JOIN (
-  SELECT conv_id, max(text) AS said FROM @conversations WHERE turn = 0 GROUP BY conv_id
+  SELECT conv_id, listagg(text, ' ') WITHIN GROUP (ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS said
+  FROM @conversations GROUP BY conv_id
 ) c ON conv_id = doc_id
 """
 
@@ -338,7 +339,7 @@ COLUMNS = {
     "part": "p_partkey bigint",
     "events": "event_id bigint, ts timestamp_ntz, event_type string",
     "documents": "doc_id bigint, text string, lang string, source string",
-    "conversations": "conv_id bigint, turn bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 SOURCES = {
