@@ -21,6 +21,7 @@ from claimgrade.operators import (
     evidence,
     geo,
     grading,
+    lexicon,
     mart,
     overrides,
     profile,
@@ -319,6 +320,29 @@ def evidence_hits(s: Stages) -> DataFrame:
     return evidence.hits(s.entities())
 
 
+@query
+def evidence_lexicon(s: Stages) -> DataFrame:
+    """``evidence_hits`` with the shipped lexicon as a table."""
+    return lexicon.hits(s.entities(), lexicon.table(s.spark))
+
+
+def passage_terms(s: Stages) -> DataFrame:
+    """A lexicon of some thousand terms: neighbouring words of the benchmark passages."""
+    passages = s.spark.read.schema("item_id bigint, text string").parquet(f"{s.sf_dir.rstrip('/')}/benchmark.parquet")
+    words = passages.select("item_id", F.split(F.lower("text"), " ").alias("w")).where(F.size("w") > 1)
+    pairs = F.expr("transform(sequence(0, size(w) - 2), i -> concat(w[i], ' ', w[i + 1]))")
+    terms = words.select(F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")).alias("capability"), F.explode(pairs).alias("term"))
+    rules = F.explode(F.array(F.lit("claim"), F.lit("prose"))).alias("rule")
+    return terms.select("capability", rules, "term", F.lit(False).alias("anchored"))
+
+
+@query
+def lexicon_passages(s: Stages) -> DataFrame:
+    """Whole documents and conversations against the terms of ``passage_terms``."""
+    texts = clean.text_channels(s.raw("raw_documents"))
+    return lexicon.hits(texts, passage_terms(s), "source_content_id").drop("structured_hit", "screening_only")
+
+
 @query
 def screening_only(s: Stages) -> DataFrame:
     capped = [t for t in FACILITY.lexicon if t.screening_any]

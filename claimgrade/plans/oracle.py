@@ -553,6 +553,19 @@ FROM indicators
 """,
 )
 _oracle("evidence_hits", f"SELECT {_IDS}, structured_hit, claim_hit, prose_hit, screening_only FROM hits")
+_oracle("evidence_lexicon", f"SELECT {_IDS}, structured_hit, claim_hit, prose_hit, screening_only FROM hits")
+_oracle(
+    "lexicon_passages",
+    """
+SELECT source_content_id, p.capability, count_if(contains(claim_text, term)) > 0 AS claim_hit,
+  count_if(contains(prose_text, term)) > 0 AS prose_hit
+FROM typed, (
+  SELECT DISTINCT 'c' || (item_id % 6) AS capability, w[i] || ' ' || w[i + 1] AS term
+  FROM (SELECT item_id, string_split(lower(text), ' ') AS w FROM benchmark), range(1, len(w)) r(i)
+) p GROUP BY source_content_id, p.capability
+""",
+    "raw_documents",
+)
 _oracle(
     "screening_only",
     f"SELECT source_content_id, l.capability, {_found('full_text', 'l.disease')} AND NOT {_found('full_text', 'l.treatment')}"
