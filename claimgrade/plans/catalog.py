@@ -30,9 +30,10 @@ from claimgrade.operators import (
 )
 from claimgrade.review import inputs as review_inputs
 from claimgrade.review import parse, pending, prompts, run, signals
-from claimgrade.plans import pipeline
+from claimgrade.plans import incremental, pipeline
 from claimgrade.session import materialise, shared_folder, tune
 from claimgrade.sources import tables, testdata
+from claimgrade.sources.slices import SlicedStore
 from claimgrade.sources.tables import StageStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -798,6 +799,21 @@ def mart_refresh(s: Stages) -> DataFrame:
     )
 
 
+@query
+def mart_update(s: Stages) -> DataFrame:
+    """The mart after two runs of reviews came in one by one, the later one first and twice."""
+    store = SlicedStore(s.spark, s.folder(), f"mart_{uuid.uuid4().hex}", slices=16)
+    graded = grading.grade(s.stored_profiles(), as_of=testdata.AS_OF)
+    reviews = materialise(s.reviews(), "reviews")
+    late = ("r7", "r3")
+    incremental.start(store, grading.baseline(graded), s.inputs(), reviews.where(~F.col("run_id").isin(*late)))
+    for run_id in (*late, late[0]):
+        incremental.update(store, reviews.where(F.col("run_id") == run_id))
+    return store.read("mart").select(
+        "unique_id", "capability", "tier", "score", "explanation", "heuristic_tier", "current_llm_review", "llm_review_status", "run_id"
+    )
+
+
 # --- serving -------------------------------------------------------------------------
 
 

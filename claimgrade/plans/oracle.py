@@ -860,10 +860,11 @@ _STAGES = {
     "geo": "profiles", "baseline": "graded", "inputs": "graded", "signals": "graded", "mart": "graded",
 }
 _oracle("run_pipeline", " UNION ALL ".join(f"SELECT '{s}' AS stage, count(*) AS n_rows FROM {t}" for s, t in _STAGES.items()))
-_oracle(
-    "mart_refresh",
-    f"SELECT {_IDS}, tier, score, explanation, heuristic_tier, current_llm_review, llm_review_status, run_id FROM mart",
-)
+for _name in ("mart_refresh", "mart_update"):
+    _oracle(
+        _name,
+        f"SELECT {_IDS}, tier, score, explanation, heuristic_tier, current_llm_review, llm_review_status, run_id FROM mart",
+    )
 _RANKED = "unique_id, name, facility_type, district_norm, state_name, tier, score, n_source_urls"
 
 
