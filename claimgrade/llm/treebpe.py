@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -45,6 +46,8 @@ def _class(ranges: str) -> str:
     return "".join("-".join(f"\\U{int(end, 16):08X}" for end in part.split("-")) for part in ranges.split())
 
 
+# no newer letter or digit comes before the first of them: most texts end here
+_MAYBE_NEWER = re.compile("[\u0558-\U0010ffff]")
 _NEWER = regex.compile(f"[{_class(NEWER_LETTERS)}{_class(NEWER_DIGITS)}]")
 
 
@@ -66,8 +69,10 @@ class Ranks:
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"no rank for single bytes {missing}")
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.above = max(self.tokens) + 1
+        self.above = max(self.ranks.values()) + 1
+        self.tokens = np.full(self.above, None, object)
+        for token, rank in self.ranks.items():
+            self.tokens[rank] = token
         self.plain, self.exact = splitters(pattern)
         self.memory = _Memory(self)
 
@@ -81,14 +86,15 @@ class Ranks:
         half = 1 << max(1, (n - 1).bit_length())
         nothing = self.above << shift
         # leaf of position i: half + i; a node's value is rank and position in one number
-        tree = [nothing] * (2 * half)
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
-                tree[half + i] = rank << shift | i
-        for node in range(half - 1, 0, -1):
-            a, b = tree[2 * node], tree[2 * node + 1]
-            tree[node] = a if a < b else b
+        found = [ranks.get(piece[i : i + 2]) for i in range(n - 1)]
+        level = [nothing if rank is None else rank << shift | i for i, rank in enumerate(found)] + [nothing] * (half - n + 1)
+        levels = [level]
+        while len(level) > 1:
+            level = list(map(min, level[::2], level[1::2]))
+            levels.append(level)
+        tree = [nothing]
+        for level in reversed(levels):
+            tree += level
         # ends of live tokens, and where the token before begins
         after = list(range(1, n + 2))
         before = list(range(-1, n + 1))
@@ -127,7 +133,7 @@ class Ranks:
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pre-tokens of ``text``, a list at a time."""
-        splitter = self.plain if text.isascii() or not _NEWER.search(text) else self.exact
+        splitter = self.exact if not text.isascii() and _MAYBE_NEWER.search(text) and _NEWER.search(text) else self.plain
         if len(text) <= STRETCH:
             yield splitter.findall(text)
             return
@@ -141,8 +147,8 @@ class Ranks:
             self.memory.clear()
         return b"".join(b"".join(map(self.memory.__getitem__, some)) for some in self.pieces(text))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.tokens[ids].tolist())
 
 
 class _Memory(dict):
@@ -171,6 +177,13 @@ def _text(value: pa.Scalar) -> str:
         return value.as_buffer().to_pybytes().decode("utf-8", "replace")
 
 
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The rows of a column of lists; a null row is empty."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for a, b, null in zip(offsets[:-1], offsets[1:], column.is_null(), strict=True):
+        yield values[a : a if null.as_py() else b]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or the columns ``keep``) with ``token_ids``, an array of int, by the rank file at
     ``path`` for whole texts. Special tokens are ordinary text.
@@ -198,12 +211,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: l
 def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:
     """``tokens`` (or the columns ``keep``) with ``decoded``, the bytes of the array of int ``ids``.
 
-    Null decodes to no bytes; an id that the file does not know, or a null one, is an error.
+    Null decodes to no bytes; an id that the file does not know is an error.
     """
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         ranks = _loaded(path, pattern)
-        return lambda column: [pa.array([ranks.decode(row.as_py() or []) for row in column], pa.binary())]
+        return lambda column: [pa.array(map(ranks.decode, _lists(column)), pa.binary())]
 
     return with_arrow_columns(tokens, ids, [("decoded", T.BinaryType())], make, keep)
 
@@ -212,9 +225,6 @@ def with_digest(tokens: DataFrame, ids: str = "token_ids") -> DataFrame:
     """``tokens`` with ``ids_sha256``: lowercase hex over the ids as little-endian 32-bit integers."""
 
     def function(column: pa.ListArray) -> list[pa.Array]:
-        offsets = column.offsets.to_numpy()
-        values = column.values.to_numpy(zero_copy_only=False).astype("<u4")
-        spans = zip(offsets[:-1], offsets[1:], strict=True)
-        return [pa.array([hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in spans], pa.string())]
+        return [pa.array([hashlib.sha256(row.astype("<u4").tobytes()).hexdigest() for row in _lists(column)], pa.string())]
 
     return with_arrow_columns(tokens, ids, [("ids_sha256", T.StringType())], lambda: function)
