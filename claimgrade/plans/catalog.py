@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from claimgrade.config import FACILITY
 from claimgrade.operators import (
     clean,
+    consistency,
     evidence,
     geo,
     grading,
@@ -945,6 +946,11 @@ def profile_join_quality(s: Stages) -> DataFrame:
     return profile.join_quality(s.raw(), s.bridge(), s.indicators())
 
 
+@query
+def state_consistency(s: Stages) -> DataFrame:
+    return consistency.state_consistency(s.entities(), s.bridge())
+
+
 @query
 def profile_capability_by_type(s: Stages) -> DataFrame:
     return profile.capability_by_type(s.raw())

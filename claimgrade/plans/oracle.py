@@ -1029,6 +1029,22 @@ SELECT count(*) AS n_rows, count(*) FILTER (t.pincode BETWEEN 100000 AND 999999)
 FROM typed t LEFT JOIN bridge b ON b.pincode = t.pincode
 """,
 )
+_oracle(
+    "state_consistency",
+    """
+SELECT e.unique_id, e.pincode, e.state_norm, r.state_name AS postcode_state,
+  CASE WHEN e.pincode IS NULL THEN 'no_postcode' WHEN r.state_name IS NULL THEN 'outside' WHEN e.state_norm IS NULL THEN 'no_state'
+    WHEN lower(e.state_norm) = lower(r.state_name) THEN 'agrees' ELSE 'differs' END AS consistency
+FROM entities e LEFT JOIN (
+  SELECT state_name, min(pincode) AS low, max(pincode) AS high
+  FROM (
+    SELECT pincode, state_name, pincode // 1000 AS bin,
+      sum(CASE WHEN state_name IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY pincode // 1000 ORDER BY pincode) AS run
+    FROM (SELECT *, lag(state_name) OVER (PARTITION BY pincode // 1000 ORDER BY pincode) AS before FROM bridge WHERE state_name IS NOT NULL AND pincode IS NOT NULL)
+  ) GROUP BY bin, run, state_name
+) r ON e.pincode BETWEEN r.low AND r.high
+""",
+)
 _TYPES = ("hospital", "clinic", "dentist", "doctor", "pharmacy", "nursing_home")
 _oracle(
     "profile_capability_by_type",
