@@ -56,6 +56,11 @@ def prefix_ranks(values: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
+def _narrow(size: int) -> type:
+    """The smaller of two integer types that holds places of a sequence."""
+    return np.int32 if size < 1 << 31 else np.int64
+
+
 class FMIndex:
     """Index of ``values`` (1 to ``alphabet`` - 1) for patterns of at most ``depth`` values.
 
@@ -66,7 +71,7 @@ class FMIndex:
     def __init__(self, values: np.ndarray, alphabet: int, depth: int, order: np.ndarray):
         values, order = np.r_[values, 0], np.r_[order, order.max(initial=0) + 1]  # 0 ends the sequence
         full, short = prefix_ranks(values, depth), prefix_ranks(values, depth - 1)
-        self.places = np.lexsort((order, full))
+        self.places = np.lexsort((order, full)).astype(_narrow(len(values)))
         self.bwt = WaveletMatrix(values[self.places - 1], alphabet)
         counts = np.bincount(values, minlength=alphabet)
         begin = np.cumsum(counts) - counts
@@ -74,9 +79,9 @@ class FMIndex:
         self.base = begin - self.bwt.descend(symbols, np.zeros(alphabet, np.int64))
         # rows whose first depth - 1 values agree, by row
         row = short[self.places]
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        block = np.cumsum(np.r_[0, row[1:] != row[:-1]])
-        self.low, self.high = starts[block], np.r_[starts[1:], len(row)][block]
+        begins = np.r_[True, row[1:] != row[:-1]]
+        self.blocks = BitVector(begins)
+        self.starts = np.r_[np.flatnonzero(begins), len(row)].astype(_narrow(len(values)))
         self.size = len(values)
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +91,8 @@ class FMIndex:
 
     def shorten(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the first depth - 1 values of the patterns at these rows."""
-        return self.low[low], self.high[low]
+        block = self.blocks.rank(low + 1)
+        return self.starts[block - 1].astype(np.int64), self.starts[block].astype(np.int64)
 
 
 def _longest(index: FMIndex, values: np.ndarray, at: int, most: int) -> tuple[int, int, int]:

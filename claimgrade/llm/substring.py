@@ -8,7 +8,8 @@ compressed FM-index over its segments (``fmindex``). Its segments stream through
 an interval at the threshold length gives the first place of the same words. Segments of a very
 frequent anchor are cut into single windows, which are dealt by their content. Hashes choose
 anchors and shards, and a 128-bit hash names a segment's content when its other places are listed;
-the index compares words as they are.
+the index compares words as they are. What is stored and moved are places and digests; words are
+rendered from the documents, once for each different segment that goes to a shard.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from claimgrade.llm.fmindex import FMIndex, window_intervals
 WIDTH = 20
 ANCHOR = 5
 # segments of one anchor up to which they stay whole
-FREQUENT = 4096
+FREQUENT = 1024
 # words of a shard, about
 SHARD = 400_000
 # words of the texts that are looked at together
@@ -122,15 +123,17 @@ def _anchors(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "tag", "text").mapInArrow(run, "id long, tag int, at int, windows int, anchor long")
 
 
-def _bodies(wanted: DataFrame, width: int) -> DataFrame:
-    """Words of the wanted segments, joined by one space: (id, tag, at, windows, bin, kind, body), frequent anchors
-    one window at a time; ``bin`` says where equal windows meet."""
+def _rendered(wanted: DataFrame, width: int, digest: bool) -> DataFrame:
+    """The segments ``found`` (at, windows, bin, frequent) in each document (id, tag, text), frequent ones as a
+    row per window with the hash of its words as ``bin``: (id, tag, at, windows, bin), and a digest of the
+    words (``kind``) or the words themselves, joined by one space (``body``)."""
+    last = "kind" if digest else "body"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
             found, many = lists.flatten(), lists.value_lengths().to_numpy()
-            at, windows, bin_, frequent = (found.field(f).to_numpy(zero_copy_only=False) for f in ("at", "windows", "anchor", "frequent"))
+            at, windows, bin_, frequent = (found.field(f).to_numpy(zero_copy_only=False) for f in ("at", "windows", "bin", "frequent"))
             # a segment of a frequent anchor becomes a row per window
             times = np.where(frequent, windows, 1)
             start = np.repeat(np.cumsum(times) - times, times)
@@ -139,13 +142,14 @@ def _bodies(wanted: DataFrame, width: int) -> DataFrame:
             windows = np.where(frequent, 1, np.repeat(windows, times))
             at = at + np.arange(len(at)) - start
             edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            bodies: list[bytes] = []
+            words_of: list[bytes] = []
             for i, text in enumerate(batch.column(2)):
                 words, own = split(text.as_py()), slice(edge[i], edge[i + 1])
                 ends = (at[own] + windows[own] + width - 1).tolist()
-                bodies += [b" ".join(words[a:b]) for a, b in zip(at[own].tolist(), ends, strict=True)]
-            single = np.flatnonzero(frequent)
-            bin_[single] = np.array([xxhash.xxh3_64_intdigest(bodies[i]) for i in single.tolist()], np.uint64).view(np.int64)
+                bodies = [b" ".join(words[a:b]) for a, b in zip(at[own].tolist(), ends, strict=True)]
+                single = np.flatnonzero(frequent[own])
+                bin_[own][single] = np.array([xxhash.xxh3_64_intdigest(bodies[k]) for k in single.tolist()], np.uint64).view(np.int64)
+                words_of += map(xxhash.xxh3_128_digest, bodies) if digest else bodies
             row = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -154,13 +158,12 @@ def _bodies(wanted: DataFrame, width: int) -> DataFrame:
                     pa.array(at.astype(np.int32)),
                     pa.array(windows.astype(np.int32)),
                     pa.array(bin_),
-                    pa.array([xxhash.xxh3_128_digest(b) for b in bodies], pa.binary()),
-                    pa.array(bodies, pa.binary()),
+                    pa.array(words_of, pa.binary()),
                 ],
-                names=["id", "tag", "at", "windows", "bin", "kind", "body"],
+                names=["id", "tag", "at", "windows", "bin", last],
             )
 
-    return wanted.select("id", "tag", "text", "found").mapInArrow(run, "id long, tag int, at int, windows int, bin long, kind binary, body binary")
+    return wanted.select("id", "tag", "text", "found").mapInArrow(run, f"id long, tag int, at int, windows int, bin long, {last} binary")
 
 
 def _matched(width: int):
@@ -198,38 +201,46 @@ def _matched(width: int):
     return function
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """(id, tag, at, windows): runs of windows of ``docs`` (id, tag, text) that stand earlier as
-    well, and (id, tag, text) of the documents that may have such."""
+def _listed(segments_: DataFrame) -> DataFrame:
+    """The segments of each document as one list (id, tag, found), stored."""
+    lists = segments_.groupBy("id", "tag").agg(F.collect_list(F.struct("at", "windows", "bin", "frequent")).alias("found"))
+    out = stored(lists, "wanted")
+    release(segments_.sparkSession)
+    return out
+
+
+def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(id, tag, at, windows): runs of windows of ``docs`` (id, tag, text) that stand earlier as well."""
     spark = docs.sparkSession
     anchors = _anchors(docs, width)
     counts = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     counts = stored(counts.select("anchor", (F.col("n") > FREQUENT).alias("frequent")), "anchors")
-    wanted = anchors.join(counts, "anchor").groupBy("id", "tag").agg(F.collect_list(F.struct("at", "windows", "anchor", "frequent")).alias("found"))
-    wanted = stored(docs.join(stored(wanted, "wanted"), ["id", "tag"]), "texts")
-    bodies = stored(_bodies(wanted, width), "bodies")
-    del anchors
     release(spark)
-    first = F.min(F.struct("id", "tag", "at")).alias("first")
-    kinds = stored(bodies.groupBy("kind", "bin", "body").agg(first, F.count("*").alias("n")), "segments")
+    wanted = _listed(anchors.join(counts, "anchor").withColumnRenamed("anchor", "bin"))
+    places = stored(_rendered(docs.join(wanted, ["id", "tag"]), width, True), "places")
+    del anchors, wanted
+    release(spark)
+    first = F.min(F.struct("id", "tag", "at", "windows")).alias("first")
+    kinds = stored(places.groupBy("kind", "bin").agg(first, F.count("*").alias("n")), "segments")
+    release(spark)
     # all places of a segment but the first repeat it whole
     many = kinds.where("n > 1").select("kind", "first")
     copies = (
-        bodies.select("id", "tag", "at", "windows", "kind")
+        places.select("id", "tag", "at", "windows", "kind")
         .join(many, "kind")
         .where("NOT (id = first.id AND tag = first.tag AND at = first.at)")
         .select("id", "tag", "at", "windows")
     )
     # a window stands in another segment only if that has the same anchor: anchors of one segment
-    # are done, the others go to the index
-    release(spark)
-    several = stored(kinds.groupBy("bin").agg(F.count("*").alias("k")).where("k > 1").select("bin"), "bins")
-    met = stored(kinds.join(several, "bin").select("bin", "first", "body"), "met")
-    size = met.agg(F.sum(F.size(F.split(F.col("body").cast("string"), " ")) + 1)).first()[0] or 0
-    shards = parts(int(size), SHARD, shuffle_parts(spark))
-    dealt = met.select("first.*", "body", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"))
+    # are done, the others go to the index, each different segment once
+    words = F.sum(F.col("first.windows") + width).alias("words")
+    several = stored(kinds.groupBy("bin").agg(F.count("*").alias("k"), words).where("k > 1").select("bin", "words"), "bins")
+    met = _listed(kinds.join(several, "bin").select("first.*", "bin", F.lit(False).alias("frequent")))
+    shards = parts(int(several.agg(F.sum("words")).first()[0] or 0), SHARD, shuffle_parts(spark))
+    bodies = _rendered(docs.join(met, ["id", "tag"]), width, False)
+    dealt = bodies.select("id", "tag", "at", "body", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"))
     inner = dealt.groupBy("shard").applyInPandas(_matched(width), "id long, tag int, at int, windows int")
-    return copies.unionAll(inner), wanted.select("id", "tag", "text")
+    return copies.unionAll(inner)
 
 
 def kept_words(words: list[bytes], found: list[tuple[int, int]], width: int) -> tuple[list[bytes], list[tuple[int, int]]]:
@@ -257,7 +268,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     own = docs.select(F.col(f"`{doc_id}`").alias("given"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     own = own.withColumn("id", F.coalesce("given", F.lit(-(2**63)))).withColumn("tag", F.hash("text"))
-    found, texts = repeated_windows(own.select("id", "tag", "text"), width)
+    texts = own.select("id", "tag", "text")
+    found = repeated_windows(texts, width)
     runs = stored(found.groupBy("id", "tag").agg(F.collect_list(F.struct("at", "windows")).alias("runs")), "runs")
     del found
     release(docs.sparkSession)
