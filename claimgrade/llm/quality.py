@@ -8,6 +8,7 @@ by exact cosine products in blocks; its nearest neighbours vote, weighted by sim
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -35,6 +36,8 @@ _SHAPE = bytes.maketrans(
     bytes(range(256)),
     bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)),
 )
+# a run of one byte
+_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 class _Codes(dict):
@@ -43,7 +46,7 @@ class _Codes(dict):
     def __missing__(self, word: bytes) -> int:
         shape = word.translate(_SHAPE)
         # runs of one class stand once
-        short = bytes(c for i, c in enumerate(shape[:64]) if i == 0 or c != shape[i - 1])
+        short = _RUN.sub(rb"\1", shape)
         code = xxhash.xxh32_intdigest(word.lower()) % WORDS | xxhash.xxh32_intdigest(short, 1) % SHAPES << 16
         if len(self) >= REMEMBERED:
             self.clear()
