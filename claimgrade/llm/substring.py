@@ -239,7 +239,10 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     shards = parts(int(several.agg(F.sum("words")).first()[0] or 0), SHARD, shuffle_parts(spark))
     bodies = _rendered(docs.join(met, ["id", "tag"]), width, False)
     dealt = bodies.select("id", "tag", "at", "body", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"))
-    inner = dealt.groupBy("shard").applyInPandas(_matched(width), "id long, tag int, at int, windows int")
+    inner = stored(dealt.groupBy("shard").applyInPandas(_matched(width), "id long, tag int, at int, windows int"), "matched")
+    # the texts that were moved for the index go before the copies are moved
+    del met, bodies, dealt
+    release(spark)
     return copies.unionAll(inner)
 
 
