@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from claimgrade.config import FACILITY
 from claimgrade.operators import (
+    citations,
     clean,
     consistency,
+    coordinates,
     evidence,
     geo,
     grading,
@@ -951,6 +953,20 @@ def state_consistency(s: Stages) -> DataFrame:
     return consistency.state_consistency(s.entities(), s.bridge())
 
 
+@query
+def coordinate_repair(s: Stages) -> DataFrame:
+    # the columns needed are stored, as both the centres and the rows read them
+    places = materialise(s.entities().select("unique_id", "pincode", "latitude", "longitude"), "places")
+    return coordinates.repair(places)
+
+
+@query
+def citation_quality(s: Stages) -> DataFrame:
+    cited = s.entities().select("unique_id", "official_website", "facebook_link", "source_urls_arr", "websites_arr")
+    suffixes = s.spark.createDataFrame(testdata.CITATION_SUFFIXES, "suffix string, class string")
+    return citations.quality(materialise(cited, "cited"), suffixes)
+
+
 @query
 def profile_capability_by_type(s: Stages) -> DataFrame:
     return profile.capability_by_type(s.raw())

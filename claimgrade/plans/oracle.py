@@ -1045,6 +1045,58 @@ FROM entities e LEFT JOIN (
 ) r ON e.pincode BETWEEN r.low AND r.high
 """,
 )
+_oracle(
+    "coordinate_repair",
+    """
+SELECT unique_id, pincode, if(ok, latitude, c_lat) AS latitude, if(ok, longitude, c_lon) AS longitude,
+  if(ok AND c_lat IS NOT NULL, km, NULL) AS distance_km,
+  CASE WHEN ok AND c_lat IS NOT NULL AND km > 100 THEN 'far' WHEN ok THEN 'kept' WHEN c_lat IS NULL THEN 'hidden'
+    WHEN latitude IS NULL OR longitude IS NULL THEN 'filled' ELSE 'repaired' END AS coordinates
+FROM (
+  SELECT e.unique_id, e.pincode, e.latitude, e.longitude, c.c_lat, c.c_lon,
+    ifnull(e.latitude BETWEEN 6 AND 38 AND e.longitude BETWEEN 68 AND 98, false) AS ok,
+    round(12742.0 * asin(sqrt(least(1.0, pow(sin(radians(c.c_lat - e.latitude) / 2), 2)
+      + cos(radians(e.latitude)) * cos(radians(c.c_lat)) * pow(sin(radians(c.c_lon - e.longitude) / 2), 2)))), 1) AS km
+  FROM entities e LEFT JOIN (
+    SELECT pincode, quantile_disc(round(latitude, 4), 0.5) AS c_lat, quantile_disc(round(longitude, 4), 0.5) AS c_lon
+    FROM entities WHERE latitude BETWEEN 6 AND 38 AND longitude BETWEEN 68 AND 98 AND pincode IS NOT NULL
+    GROUP BY pincode HAVING count(*) >= 3
+  ) c ON c.pincode = e.pincode
+)
+""",
+)
+_SUFFIXES = ", ".join(f"({_q(s)}, {_q(c)})" for s, c in testdata.CITATION_SUFFIXES)
+_HOST = "nullif(regexp_extract(lower({}), '^[a-z][a-z0-9+.-]*://([^/?#@]*@)?(www[.])?([^/?#:@]+)', 3), '')"
+_oracle(
+    "citation_quality",
+    f"""
+SELECT unique_id, count(url) AS n_citations, count(*) FILTER (kind = 'official') AS n_official,
+  count(*) FILTER (kind = 'government') AS n_government, count(*) FILTER (kind = 'directory') AS n_directory,
+  count(*) FILTER (kind = 'social') AS n_social, count(*) FILTER (kind = 'other') AS n_other,
+  count(*) FILTER (kind = 'unreadable') AS n_unreadable,
+  arg_min(kind, list_position(['official', 'government', 'directory', 'social', 'other', 'unreadable'], kind)) AS best_citation
+FROM (
+  SELECT u.unique_id, u.url, CASE WHEN u.url IS NULL THEN NULL WHEN u.host IS NULL THEN 'unreadable' WHEN u.host = u.site THEN 'official'
+    ELSE ifnull(x.class, 'other') END AS kind
+  FROM (
+    SELECT unique_id, site, url, {_HOST.format("url")} AS host
+    FROM (SELECT unique_id, {_HOST.format("official_website")} AS site FROM entities) LEFT JOIN (
+      SELECT DISTINCT unique_id, trim(url) AS url FROM (
+        SELECT unique_id, unnest(source_urls_arr) AS url FROM entities UNION ALL SELECT unique_id, unnest(websites_arr) FROM entities
+        UNION ALL SELECT unique_id, official_website FROM entities UNION ALL SELECT unique_id, facebook_link FROM entities
+      ) WHERE url IS NOT NULL AND lower(trim(url)) NOT IN ('', 'null')
+    ) USING (unique_id)
+  ) u
+  LEFT JOIN (
+    SELECT DISTINCT ON (host) host, class
+    FROM (SELECT DISTINCT regexp_extract(url, '://([^/?#]+)', 1) AS host FROM (
+      SELECT unnest(list_concat(ifnull(source_urls_arr, []), ifnull(websites_arr, []), [official_website, facebook_link])) AS url FROM entities)) h
+    JOIN (VALUES {_SUFFIXES}) s(suffix, class) ON h.host = s.suffix OR ends_with(h.host, '.' || s.suffix)
+    ORDER BY host, length(suffix) DESC
+  ) x ON x.host = u.host
+) GROUP BY unique_id
+""",
+)
 _TYPES = ("hospital", "clinic", "dentist", "doctor", "pharmacy", "nursing_home")
 _oracle(
     "profile_capability_by_type",

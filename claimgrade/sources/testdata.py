@@ -14,6 +14,16 @@ AS_OF = "2001-08-01"
 SNAPSHOT_TS = "2024-02-01 00:00:00"
 PROMPT_VERSION = "view"
 TARGET = "reviewer-endpoint"
+# Domain suffixes and what pages under them are
+CITATION_SUFFIXES = (
+    ("gov.in", "government"),
+    ("nic.in", "government"),
+    ("example", "directory"),
+    ("social.example", "social"),
+    ("facebook.com", "social"),
+    ("instagram.com", "social"),
+    ("youtube.com", "social"),
+)
 
 RAW_FACILITIES = """
 SELECT
