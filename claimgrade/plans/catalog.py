@@ -30,6 +30,7 @@ from claimgrade.operators import (
     profile,
     reference_data,
     serve,
+    sketches,
 )
 from claimgrade.review import inputs as review_inputs
 from claimgrade.review import parse, pending, prompts, run, signals
@@ -953,6 +954,14 @@ def state_consistency(s: Stages) -> DataFrame:
     return consistency.state_consistency(s.entities(), s.bridge())
 
 
+@query
+def profile_keys_merged(s: Stages) -> DataFrame:
+    """Distinct counts from sketches of loads (ends of the record number) beside the exact ones."""
+    load = F.concat(F.lit("d"), F.right("source_content_id", F.lit(1)))
+    made = sketches.sketch(s.raw(), load)
+    return sketches.compared(sketches.merged(made), profile.keys(s.raw()))
+
+
 @query
 def coordinate_repair(s: Stages) -> DataFrame:
     # the columns needed are stored, as both the centres and the rows read them

@@ -1045,6 +1045,14 @@ FROM entities e LEFT JOIN (
 ) r ON e.pincode BETWEEN r.low AND r.high
 """,
 )
+_oracle(
+    "profile_keys_merged",
+    " UNION ALL ".join(
+        f"SELECT '{key}' AS key, count(DISTINCT right(source_content_id, 1)) AS loads, count(*) AS n_rows, count({column}) AS n_present,"
+        f" count(DISTINCT {column}) AS distinct_values, true AS within_bound FROM raw_facilities"
+        for key, column in (("id", "unique_id"), ("cluster", "cluster_id"), ("region", "address_stateOrRegion"))
+    ),
+)
 _oracle(
     "coordinate_repair",
     """
