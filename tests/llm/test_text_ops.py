@@ -62,6 +62,34 @@ def test_phrases_are_longest_matches():
         assert counts == [longest_phrases(text, clean[k]) for k in parser.languages]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_phrases_go_on_across_pieces(monkeypatch, piece):
+    """Also where the parse from a piece's start never meets the real one, as in periodic texts."""
+    monkeypatch.setattr(language, "PIECE", piece)
+    rng = random.Random(5)
+    samples = {k: "".join(rng.choice(letters) for _ in range(500)) for k, letters in (("x", "abcd"), ("y", "cdef"))}
+    samples |= {"z": "ababba", "ja": "日本語本日日語", "none": ""}
+    parser = language.Parser(samples)
+    texts = ["".join(rng.choice("abcdefé日本") for _ in range(rng.randrange(1, 400))) for _ in range(40)]
+    texts += ["ab" * 150, "abba" * 70, "b" * 99, samples["x"] * 2, "", "é", samples["y"][100:400], "日本語" * 40]
+    for text, counts in zip(texts, parser.phrases(texts).tolist(), strict=True):
+        assert counts == [longest_phrases(text, samples[k]) for k in parser.languages]
+
+
+def test_letters_of_one_script_differ():
+    parser = language.Parser({"one": "".join(chr(0x4E00 + i) for i in range(600)), "two": "".join(chr(0x4E00 + i) for i in range(600, 1200))})
+    text = "".join(chr(0x4E00 + i) for i in range(700, 760))
+    assert parser.phrases([text]).tolist() == [[60, 1]]
+
+
+def test_long_texts_share_the_sample(spark):
+    rows = [(i, "en", f"{'abcdefghij'[i % 10]} " * (60_000 if i % 2 else 300)) for i in range(10)]
+    sample = language.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))["en"]
+    assert language.SAMPLE_CHARS * 0.98 < len(sample) <= language.SAMPLE_CHARS
+    counts = Counter(sample.replace(" ", ""))
+    assert len(counts) == 10 and max(counts.values()) < len(sample) / 8
+
+
 def test_language_of_odd_rows(spark, odd_docs, no_docs):
     samples = {"en": "the quick brown fox jumps over one two three", "fr": "le renard brun saute ça va été"}
     rows = language.identify(odd_docs, samples).collect()
