@@ -15,16 +15,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimgrade.functions.steps import compute
 from claimgrade.llm.common import stored
 
 # A candidate: so many key characters in a row
 LEAST = 16
 _KEY = "A-Za-z0-9+/_=\\-"
-_BEGIN, _END = "\x01", "\x02"
+# Marks round a candidate, and before one that is far from its name or after a long user name
+_BEGIN, _END, _FAR_VALUE, _FAR_PASSWORD = "\x01", "\x02", "\x03", "\x04"
+_MARKS = _BEGIN + _END + _FAR_VALUE + _FAR_PASSWORD
 # Characters of context that are looked at on either side
 CONTEXT = 80
 # Bound of the labelled sample, in findings
 SAMPLE = 20_000
+# Candidates of a text that are put together at a time
+BLOCK = 64
 # A dictionary word has so many letters and occurs so often in the corpus
 WORD_LETTERS, WORD_COUNT = 4, 3
 TREES, DEPTH, SEED = 30, 6, 1
@@ -36,18 +41,29 @@ ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{
 
 # A value assigned to a name: quoted, or up to white space; a single character (a flag) is none.
 # Cheap looks behind come first. A run that holds its name goes on as a run if the value does.
-_SIGN = r"[\"']?[ \t]{0,8}(?:=>|:=|[:=])[ \t]{0,8}"
+# A look behind has a bound: names farther off (NEAR blanks, USER characters) are marked before.
+NEAR, USER = 8, 64
+_EQUALS = "(?:=>|:=|[:=])"
+_SIGN = rf"[\"']?[ \t]{{0,{NEAR}}}{_EQUALS}[ \t]{{0,{NEAR}}}"
 _PLAIN = r"[^\s\"']+[^\s\"',;.)\]}]"
 _NAMED = rf"(?i:{NAMES})".replace("(word", "(?:word")
 _ASSIGNED = (
-    rf"(?<=[:=> \t])(?<=[:=>][ \t]{{0,8}})(?<={_NAMED}{_SIGN}){_PLAIN}"
-    rf"|(?<=\")(?<=[:=>][ \t]{{0,8}}\")(?<={_NAMED}{_SIGN}\")[^\"\r\n]{{2,}}(?=\")"
-    rf"|(?<=')(?<=[:=>][ \t]{{0,8}}')(?<={_NAMED}{_SIGN}')[^'\r\n]{{2,}}(?=')"
+    rf"(?<=[:=> \t])(?<=[:=>][ \t]{{0,{NEAR}}})(?<={_NAMED}{_SIGN}){_PLAIN}"
+    rf"|(?<=\")(?<=[:=>][ \t]{{0,{NEAR}}}\")(?<={_NAMED}{_SIGN}\")[^\"\r\n]{{2,}}(?=\")"
+    rf"|(?<=')(?<=[:=>][ \t]{{0,{NEAR}}}')(?<={_NAMED}{_SIGN}')[^'\r\n]{{2,}}(?=')"
 )
-_IN_URL = r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@]{2,}(?=@)"
+_IN_URL = rf"(?<=:)(?<=://[^\s/:@]{{0,{USER}}}:)[^\s/@]{{2,}}(?=@)"
 _HIDDEN = rf"[{_KEY}]*{_NAMED}=[{_KEY}]*+[^\s\"']*[^\s\"',;.)\]}}]"
 _RUN = rf"{_ASSIGNED}|{_IN_URL}|(?<![{_KEY}])(?=[{_KEY}]{{{LEAST}}})(?!{_HIDDEN})[{_KEY}]{{{LEAST},}}"
 
+_FAR = rf"[ \t]{{{NEAR + 1}}}|://[^\s/:@]{{{USER + 1}}}"
+_FAR_NAME = rf"{_NAMED}[\"']?(?:[ \t]{{{NEAR + 1},}}+{_EQUALS}[ \t]*+|[ \t]*+{_EQUALS}[ \t]{{{NEAR + 1},}}+)"
+_FAR_USER = rf"://[^\s/:@]{{{USER + 1},}}+:"
+_FAR_RUN = (
+    rf"(?<={_FAR_VALUE}){_PLAIN}|(?<={_FAR_VALUE}\")[^\"\r\n]{{2,}}(?=\")"
+    rf"|(?<={_FAR_VALUE}')[^'\r\n]{{2,}}(?=')|(?<={_FAR_PASSWORD})[^\s/@]{{2,}}(?=@)|{_RUN}"
+)
+
 _KINDS = "uldo"
 _TRANSITIONS = [a + b for a in _KINDS for b in _KINDS if a != b]
 FEATURES = [
@@ -56,27 +72,78 @@ FEATURES = [
 ]
 
 
+def _marked(text: F.Column) -> F.Column:
+    """``text`` with the marks round its candidates."""
+
+    def around(t: F.Column, run: str) -> F.Column:
+        return F.regexp_replace(t, f"({run})", f"{_BEGIN}$1{_END}")
+
+    far = F.regexp_replace(F.regexp_replace(text, f"({_FAR_NAME})", f"$1{_FAR_VALUE}"), f"({_FAR_USER})", f"$1{_FAR_PASSWORD}")
+    return F.when(text.rlike(_FAR), around(far, _FAR_RUN)).otherwise(around(text, _RUN))
+
+
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str | None = "source") -> DataFrame:
     """One row per candidate: ``doc_id``, ``start`` (characters before it), ``candidate``, ``left``
-    and ``right`` (context), ``path``. Whole texts are read; a text without a run gives no row."""
+    and ``right`` (context), ``path``. Whole texts are read; a text without a run gives no row.
+
+    A text is cut at its candidates once; what stands between two is reduced to its length and
+    the context at its ends, and the candidates are put together in blocks, so that a text takes
+    time by its length and the number of its candidates. Each step is computed once.
+    """
     place = F.lit("") if path is None else F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
-    clean = F.translate(F.col(f"`{text}`"), _BEGIN + _END, "  ")
-    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), place.alias("path"), clean.alias("t")).where(F.col("t").rlike(_RUN))
-    marked = F.split(F.regexp_replace("t", f"({_RUN})", f"{_BEGIN}$1{_END}"), _BEGIN, -1)
-    rows = found.select("doc_id", "path", marked.alias("parts")).select("doc_id", "path", "parts", F.posexplode("parts").alias("i", "part")).where("i > 0")
-    before = F.aggregate(F.slice("parts", 1, F.col("i")), F.lit(0), lambda n, s: n + F.length(s))
+    clean = F.translate(F.col(f"`{text}`"), _MARKS, " " * len(_MARKS))
+    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), place.alias("path"), clean.alias("t"))
+    found = compute(found, parts=F.split(_marked(F.col("t")), _BEGIN, -1)).drop("t").where(F.size("parts") > 1)
+
+    def piece(p: F.Column) -> F.Column:
+        plain = F.translate(p, _MARKS, "")
+        return F.struct(
+            F.length(plain).alias("n"),
+            F.when(F.length(plain) > CONTEXT, F.substring(plain, -CONTEXT, CONTEXT)).otherwise(plain).alias("tail"),
+            F.substring_index(p, _END, 1).alias("candidate"),
+            F.substring(F.translate(F.substring_index(p, _END, -1), _MARKS, ""), 1, CONTEXT).alias("right"),
+        )
+
+    # the first part is what stands before the first candidate: it has a length and a tail
+    found = compute(found, pieces=F.transform("parts", piece)).drop("parts")
+    blocks = F.sequence(F.lit(0), F.expr(f"(size(pieces) - 1) div {BLOCK}"))
+
+    def total(lengths: F.Column) -> F.Column:
+        return F.aggregate(lengths, F.lit(0), lambda n, x: n + x)
+
+    def length_of(b: F.Column) -> F.Column:
+        return total(F.transform(F.slice("pieces", b * BLOCK + 1, F.lit(BLOCK)), lambda p: p["n"]))
+
     # a candidate right before belongs to the context too; each has two characters at least
-    previous = F.slice("parts", F.greatest(F.col("i") - CONTEXT // 2, F.lit(1)), F.least(F.col("i"), F.lit(CONTEXT // 2 + 1)))
-    ends = F.transform(previous, lambda p: F.substring(F.replace(p, F.lit(_END), F.lit("")), -CONTEXT, CONTEXT))
-    tail = F.substring(F.array_join(ends, ""), -CONTEXT, CONTEXT)
-    return rows.select(
-        "doc_id",
-        "path",
-        (before - (F.col("i") - 1)).alias("start"),
-        F.substring_index("part", _END, 1).alias("candidate"),
-        F.when(F.length(tail) > 0, tail).otherwise("").alias("left"),
-        F.substring(F.substring_index("part", _END, -1), 1, CONTEXT).alias("right"),
-    )
+    reach = CONTEXT // 2 + 1
+    found = compute(found, lengths=F.transform(blocks, length_of))
+
+    def block_of(b: F.Column) -> F.Column:
+        at = b * BLOCK
+        return F.struct(
+            (b == 0).alias("first"),
+            total(F.slice("lengths", F.lit(1), b)).alias("offset"),
+            F.slice("pieces", at + 1, F.lit(BLOCK)).alias("own"),
+            F.slice("pieces", F.greatest(at + 1 - reach, F.lit(1)), F.least(at, F.lit(reach))).alias("earlier"),
+        )
+
+    made = F.transform(blocks, block_of)
+    found = compute(found, blocks=made).drop("pieces", "lengths").select("doc_id", "path", F.inline("blocks"))
+    found = compute(found, tails=F.concat(F.col("earlier.tail"), F.col("own.tail")), sizes=F.col("own.n"), before=F.size("earlier"))
+
+    def row(p: F.Column, i: F.Column) -> F.Column:
+        at = F.col("before") + i
+        near = F.array_join(F.slice("tails", F.greatest(at - reach + 1, F.lit(1)), F.least(at, F.lit(reach))), "")
+        return F.struct(
+            (F.col("offset") + total(F.slice("sizes", F.lit(1), i))).alias("start"),
+            p["candidate"].alias("candidate"),
+            F.when(F.length(near) > CONTEXT, F.substring(near, -CONTEXT, CONTEXT)).otherwise(near).alias("left"),
+            p["right"].alias("right"),
+            (F.col("first") & (i == 0)).alias("none"),
+        )
+
+    rows = found.select("doc_id", "path", F.inline(F.transform("own", row)))
+    return rows.where("NOT none").select("doc_id", "path", "start", "candidate", "left", "right")
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -95,6 +162,13 @@ def _near(side: str, last: bool) -> F.Column:
     return F.get(words, F.size(words) - 1) if last else F.get(words, F.lit(0))
 
 
+def _letters(text: F.Column, at_once: int = 4096) -> F.Column:
+    """The different characters of a text; long ones are read in stretches, to bound the array."""
+    stretches = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(at_once))
+    each = F.transform(stretches, lambda i: F.array_distinct(F.split(F.substring(text, i, F.lit(at_once)), "")))
+    return F.when(F.length(text) <= at_once, F.array_distinct(F.split(text, ""))).otherwise(F.array_distinct(F.flatten(each)))
+
+
 def described(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with the ``FEATURES``; ``words`` is the dictionary."""
     c = F.col("candidate")
@@ -116,14 +190,14 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     made = {
         "length": size,
         **{n: F.regexp_count(k, F.lit(x)) / size for n, x in (("upper", "u"), ("lower", "l"), ("digits", "d"), ("others", "o"))},
-        "distinct": F.size(F.array_distinct(F.split(F.substring(c, 1, 4096), ""))) / F.least(size, F.lit(64)),
+        "distinct": F.size(_letters(c)) / F.least(size, F.lit(64)),
         "hex": c.rlike("^[0-9a-f]+$") | c.rlike("^[0-9A-F]+$"),
         **{f"to_{t}": F.regexp_count(k, F.lit(f"{t[0]}(?={t[1]})")) / size for t in _TRANSITIONS},
         "coverage": F.coalesce("__coverage", F.lit(0)) / size,
         "in_path": c.contains("/") | F.col("left").rlike(r"[/\\.@]$") | F.col("right").rlike(r"^[.\\@]\w"),
         "path_made_up": F.lower("path").rlike(MADE_UP),
         "named": F.lower(F.concat("left", c)).rlike(rf"({NAMES})[\"']?\s*[:=]?\s*[\"']?[^\s]*$"),
-        "assigned": F.concat("left", F.substring(c, 1, LEAST)).rlike(r"[=:]\s*[\"']?[^\s=:]*$"),
+        "assigned": F.concat("left", c).rlike(r"[=:]\s*[\"']?[^\s=:]+=*$"),
         "quoted": F.col("left").rlike("[\"']$") & F.col("right").rlike("^[\"']"),
         "made_up_near": F.lower(F.concat("left", F.lit(" "), c, F.lit(" "), "right")).rlike(rf"\b({MADE_UP})\b"),
         "left_covered": F.col("__left_covered").isNotNull(),
