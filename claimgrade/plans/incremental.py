@@ -22,13 +22,15 @@ from claimgrade.session import materialise, tune
 from claimgrade.sources.slices import SlicedStore
 
 CURRENT = (*KEY, "evidence_fingerprint", *signals.PROVENANCE, "parsed_json")
+# what the mart needs of the inputs
+JUDGED = (*KEY, "heuristic_tier", "heuristic_score", "heuristic_explanation", "evidence_fingerprint")
 
 
 def start(store: SlicedStore, baseline: DataFrame, inputs: DataFrame, reviews: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     """Store all four tables from a rebuilt baseline, its review inputs and the reviews so far."""
     tune(store.spark)
     store.write(baseline, "baseline")
-    store.write(inputs, "inputs")
+    store.write(inputs.select(*JUDGED), "inputs")
     store.write(signals.latest(reviews).select(*CURRENT), "current")
     return store.write(joined(store, cfg=cfg), "mart")
 
@@ -51,5 +53,6 @@ def update(store: SlicedStore, new: DataFrame, cfg: GradingConfig = FACILITY) ->
     if touched:
         merged = signals.latest(store.read("current", touched).select(*CURRENT).unionByName(arrived))
         store.replace(merged, "current", touched)
-        store.replace(joined(store, touched, cfg), "mart", touched)
+        # the mart is made from the other three tables, slice by slice
+        store.replace(joined(store, touched, cfg), "mart", touched, like="baseline")
     return touched

@@ -47,7 +47,8 @@ class SlicedStore:
     def write(self, df: DataFrame, table: str) -> DataFrame:
         """Store ``df`` as a whole and return it as read back."""
         writer = self._dealt(df).write.mode("overwrite").partitionBy(SLICE).bucketBy(self.slices, self.key).sortBy(self.key)
-        writer.option("path", f"{self.root}/{table}").saveAsTable(self.name(table))
+        # most bytes are fingerprints and sentences, which zstd halves
+        writer.option("compression", "zstd").option("path", f"{self.root}/{table}").saveAsTable(self.name(table))
         return self.read(table)
 
     def read(self, table: str, touched: Sequence[int] | None = None) -> DataFrame:
@@ -59,21 +60,26 @@ class SlicedStore:
         """The slices that the keys of ``changed`` lie in; no more than there are slices."""
         return sorted(r[0] for r in changed.select(self.slice_of().alias(SLICE)).distinct().collect())
 
-    def replace(self, df: DataFrame, table: str, touched: Sequence[int]) -> DataFrame:
+    def replace(self, df: DataFrame, table: str, touched: Sequence[int], like: str | None = None) -> DataFrame:
         """Put ``df``, all rows of the ``touched`` slices, in the place of what they hold.
 
-        ``df`` may read the table itself: it is stored first. A slice that is left without rows is emptied.
-        Repeating a replacement after a failure gives the same table.
+        ``df`` may read the table itself: it is stored first. Not so with ``like``, another table of the store
+        with rows in the same slices as ``df``: then ``df`` is computed and written once, and rows that come
+        from this store's tables are not moved. A slice that is left without rows is emptied. Repeating a
+        replacement after a failure gives the same table.
         """
         columns = self.spark.table(self.name(table)).columns
-        new = materialise(df.select(*[c for c in columns if c != SLICE]), f"slices-{table}")
+        new = df.select(*[c for c in columns if c != SLICE])
+        if like is None:
+            new = materialise(new, f"slices-{table}")
         before = self.spark.conf.get(_OVERWRITE)
         self.spark.conf.set(_OVERWRITE, "dynamic")
         try:
             self._dealt(new).write.insertInto(self.name(table), overwrite=True)
         finally:
             self.spark.conf.set(_OVERWRITE, before)
-        filled = {r[0] for r in new.select(self.slice_of().alias(SLICE)).distinct().collect()}
+        rows = new.select(self.slice_of().alias(SLICE)) if like is None else self.read(like, touched).select(SLICE)
+        filled = {r[0] for r in rows.distinct().collect()}
         for empty in sorted(set(touched) - filled):
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({SLICE} = {int(empty)})")
         return self.read(table)

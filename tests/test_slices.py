@@ -137,3 +137,19 @@ def test_the_mart_of_an_update_moves_nothing(spark, store, graded):
         assert exchanges(incremental.joined(store)).count("SortMergeJoin") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_table_made_from_others_is_written_once(spark, store, graded, monkeypatch):
+    """The slices of the mart are neither stored beforehand nor moved; a slice without rows is emptied."""
+    from claimgrade.sources import slices
+
+    baseline, found, reviews = graded
+    incremental.start(store, baseline, found, reviews)
+    stored = []
+    monkeypatch.setattr(slices, "materialise", lambda df, label: stored.append(label) or materialise(df, label))
+    late = reviews.withColumn("inference_ts", F.lit("2030-01-01").cast("timestamp"))
+    assert incremental.update(store, late) and stored == ["slices-current"]
+    assert rows(store.read("mart")) == full(spark, (baseline, found, late))
+    store.replace(store.read("baseline").where(F.col(SLICE) != 1), "baseline", [1])
+    store.replace(incremental.joined(store, [1, 2]), "mart", [1, 2], like="baseline")
+    assert store.read("mart").where(F.col(SLICE) == 1).isEmpty() and not store.read("mart").where(F.col(SLICE) == 2).isEmpty()
