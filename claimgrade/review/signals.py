@@ -19,6 +19,8 @@ TYPED = (
     "confidence_llm",
     "reasoning_llm",
 )
+# keys of a stored record
+FIELDS = tuple(c.removesuffix("_llm") for c in TYPED)
 SIGNAL_COLUMNS = (
     *KEY,
     "heuristic_tier",
@@ -54,8 +56,12 @@ def latest(reviews: DataFrame) -> DataFrame:
     return first_per(narrow, [F.col(k) for k in KEY], order)
 
 
+def _name(field: str) -> str:
+    return f"_said_{field}"
+
+
 def _field(name: str) -> Column:
-    return F.get_json_object("parsed_json", f"$.{name}")
+    return F.col(_name(name))
 
 
 def _tri_state(name: str) -> Column:
@@ -70,7 +76,9 @@ def _filled(name: str) -> Column:
 
 def typed(reviews: DataFrame) -> DataFrame:
     """Typed signals from ``parsed_json``; whatever cannot be read is NULL."""
-    return reviews.withColumns(
+    # all fields in one parse of the document
+    read = reviews.select("*", F.json_tuple("parsed_json", *FIELDS).alias(*map(_name, FIELDS)))
+    return read.withColumns(
         {
             "claim_hit_llm": _tri_state("claim_hit"),
             "prose_hit_llm": _tri_state("prose_hit"),
@@ -82,7 +90,7 @@ def typed(reviews: DataFrame) -> DataFrame:
             "confidence_llm": _field("confidence").try_cast("double"),
             "reasoning_llm": _filled("reasoning"),
         }
-    ).drop("parsed_json")
+    ).drop("parsed_json", *map(_name, FIELDS))
 
 
 def attach(fingerprinted: DataFrame, reviews: DataFrame) -> DataFrame:

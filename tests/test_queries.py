@@ -85,3 +85,33 @@ def test_ranking_keeps_only_the_top(spark):
 def test_no_cross_join(spark, name):
     text = plan(catalog.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("name", ["review_payload", "story_payload", "review_batches", "evidence_document_final", "review_split"])
+def test_documents_are_not_parsed_once_per_field(spark, name):
+    """``notes[0]`` and the signals of reviews aside, fields come from one parse of their object."""
+    assert catalog.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") <= 1
+
+
+@pytest.mark.parametrize(
+    ("name", "stored"),
+    [("review_latest", []), ("review_typed", []), ("review_pending", ["keys"]), ("review_batches", ["profiles", "keys"]), ("review_append", ["reviews"])],
+)
+def test_only_what_is_used_twice_is_stored(spark, monkeypatch, name, stored):
+    labels = []
+    kept = catalog.materialise
+    monkeypatch.setattr(catalog, "materialise", lambda df, label: labels.append(label) or kept(df, label))
+    catalog.QUERIES[name](spark, SF)
+    assert labels == stored
+
+
+def test_shared_parts_of_a_fingerprint_change_nothing(spark):
+    from claimgrade.operators import grading
+    from claimgrade.review import inputs
+
+    profiles = catalog.Stages(spark, SF).profiles()
+    for evidence_only in (False, True):
+        plain, shared = (inputs.with_fingerprint(grading.grade(p, as_of="2001-08-01"), evidence_only) for p in (profiles, inputs.prepared(profiles)))
+        assert plain.columns == shared.columns
+        key = ["unique_id", "capability", "evidence_fingerprint"]
+        assert plain.select(key).exceptAll(shared.select(key)).isEmpty() and plain.count() == shared.count()
