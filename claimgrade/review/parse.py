@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from claimgrade.config import SCOPES
 from claimgrade.functions import variants as v
 from claimgrade.functions.steps import compute, let
-from claimgrade.functions.text import strip
+from claimgrade.functions.text import WHITE_SPACE, strip
 
 # Texts read as booleans, and the fields a record may have
 TRUE_TEXTS = ("1", "on", "t", "true", "y", "yes")
@@ -97,9 +97,13 @@ def extract_text(responses: DataFrame) -> DataFrame:
 
 def unfenced(text: Column) -> Column:
     """Drop a code fence around the whole text."""
-    trimmed = strip(text)
     fence = r"(?s)^```[^\n\r]*\R(.*)\R[^\n\r]*```$"
-    return F.when(trimmed.rlike(fence), strip(F.regexp_extract(trimmed, fence, 1))).otherwise(trimmed)
+    # trimming walks over the whole text, so that is done once, and only where an end has something to trim
+    ends = [F.contains(F.lit(WHITE_SPACE), end) for end in (F.left(text, F.lit(1)), F.right(text, F.lit(1)))]
+    return let(
+        F.when(ends[0] | ends[1], strip(text)).otherwise(text),
+        lambda t: F.when(t.rlike(fence), strip(F.regexp_extract(t, fence, 1))).otherwise(t),
+    )
 
 
 def extract_object(texts: DataFrame) -> DataFrame:
@@ -260,7 +264,10 @@ def validate_batch(objects: DataFrame) -> DataFrame:
         )
 
     def last(capability: Column) -> Column:
-        same = F.filter("_results", lambda r: F.coalesce(r["key"] == F.lower(capability), F.lit(False)))
+        # lower case is made once per capability, not once per pair of a capability and a result
+        same = let(
+            F.lower(capability), lambda name: F.filter("_results", lambda r: F.coalesce(r["key"] == name, F.lit(False)))
+        )
         return F.struct(
             capability.alias("capability"), F.try_element_at(same, F.lit(-1))["record"].alias("record")
         )

@@ -443,3 +443,16 @@ def test_fingerprint_of_a_literal_row(spark):
     found = inputs.with_fingerprint(row).first()["evidence_fingerprint"]
     texts = ["[]" if p == "source_types_arr" else '["u1","u2"]' if p == "citation_urls" else "7" if p == "score" else "" if p == "num_doctors" else f"<{p}>" for p in columns]
     assert found == hashlib.sha256("||".join(texts).encode()).hexdigest()
+
+
+def test_answers_are_trimmed_and_lowered_once(spark):
+    """White space of any kind at either end goes; names are lowered per capability, not per pair."""
+    from claimgrade.review import parse
+
+    texts = ["x", " x", "x　", "  x\t", "", "\n", None, "```json\n x \n```", " ```\nx\n``` ", "a b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(1)
+    found = {r["i"]: r["u"] for r in rows.select("i", parse.unfenced(F.col("t")).alias("u")).collect()}
+    assert [found[i] for i in range(len(texts))] == ["x", "x", "x", "x", "", "", None, "x", "x", "a b"]
+    asked = spark.createDataFrame([("{}", ["icu"], None)], "assistant_text string, capabilities array<string>, error string")
+    text = parse.validate_batch(parse.extract_object(asked))._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" in text and not any("lower(" in part.split(")", 1)[0] for part in text.split("lambdafunction(coalesce(")[1:])
