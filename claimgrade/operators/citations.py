@@ -50,10 +50,14 @@ def quality(entities: DataFrame, suffixes: DataFrame) -> DataFrame:
     without any). A URL without a host is ``unreadable``; the official site's host comes before the table; a class that
     is not one of ``CLASSES`` counts as ``other``. One very frequent host is left to adaptive execution to split."""
     cited = citations(entities)
-    rows = lookup(cited, host_classes(cited, suffixes), "host", "unique_id")
+    # only hosts that the table decides on move; what can be said without it is counted where it stands
+    asked = F.col("host").isNotNull() & ~F.col("own")
+    named = cited.where(asked)
     listed = F.when(F.col("class").isin("government", "directory", "social"), F.col("class")).otherwise("other")
-    kind = F.when(F.col("url").isNull(), None).when(F.col("host").isNull(), "unreadable").when(F.col("own"), "official").otherwise(listed)
+    told = F.when(F.col("url").isNull(), None).when(F.col("host").isNull(), "unreadable").otherwise("official")
+    found = lookup(named.select("unique_id", "url", "host"), host_classes(named, suffixes), "host", "unique_id")
+    rows = cited.where(~asked).select("unique_id", "url", told.alias("kind")).unionByName(found.select("unique_id", "url", listed.alias("kind")))
     counts = [F.count_if(F.col("kind") == c).alias(f"n_{c}") for c in CLASSES]
     best = F.coalesce(*[F.when(F.col(f"n_{c}") > 0, c) for c in CLASSES])
-    counted = rows.withColumn("kind", kind).groupBy("unique_id").agg(F.count("url").alias("n_citations"), *counts)
+    counted = rows.groupBy("unique_id").agg(F.count("url").alias("n_citations"), *counts)
     return counted.withColumn("best_citation", best)

@@ -31,7 +31,9 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) ->
     so that they do not meet in one task.
     """
     spread = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.lit(0))
-    keyed = dimension.withColumn("_spread", F.lit(0).cast("bigint"))
+    # always 0, yet no constant: the optimizer would make a constant a filter, and then all facts without a
+    # key meet in one task after all
+    keyed = dimension.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1)))
     return facts.withColumn("_spread", spread).join(keyed, [key, "_spread"], "left").drop("_spread")
 
 
