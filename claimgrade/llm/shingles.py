@@ -1,7 +1,10 @@
 """Near-duplicates by the five-word shingles of whole texts: Jaccard similarity of 0.8 or more.
 
-Of every text's set of shingles, ``BANDS`` bands of ``ROWS`` smallest hashes are taken; two texts
-meet where a band agrees, which a pair at 0.8 misses with a chance of 0.672 ** 32, or 3 in a million.
+Candidates come in two steps. First the covering masks of ``simhash`` over the fingerprints of the sets
+bring together all texts whose fingerprints differ in 2 bits or fewer. Pairs at 0.8 differ in some 10 bits of
+64, which no masks of few tables cover, so what is still apart meets in bands: of every text's set,
+``BANDS`` bands of ``ROWS`` smallest hashes are taken, and two texts meet where a band agrees, which
+a pair at 0.8 misses with a chance of 0.672 ** 32, or 3 in a million.
 What meets is compared on the sets themselves before it links. A bucket is compared with its
 smallest member first, so that a group of copies costs one comparison each; buckets that are still
 apart are then compared in full, block by block. There are two such steps whatever the data.
@@ -15,10 +18,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimgrade.llm import simhash
 from claimgrade.llm.common import release, shuffle_parts, stored, unused, with_arrow_columns
 from claimgrade.llm.graph import components
 
@@ -65,17 +69,17 @@ def _signed(x: int) -> int:
 
 
 def sketches(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` with ``node`` (hash of the set of shingles), ``n`` (its size) and ``bands``."""
+    """``keep`` with ``node`` (hash of the set of shingles), ``n`` (its size), ``fp`` (its fingerprint) and ``bands``."""
 
     def make():
         def function(column: pa.Array) -> list[pa.Array]:
             sets = [shingle_set(t.as_py()) for t in column]
             nodes = [_signed(xxhash.xxh64_intdigest(s.tobytes(), SEED)) for s in sets]
-            return [pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_bands, sets), pa.list_(pa.int64()))]
+            return [pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(simhash.of_hashes, sets), pa.int64()), pa.array(map(_bands, sets), pa.list_(pa.int64()))]
 
         return function
 
-    added = [("node", T.LongType()), ("n", T.LongType()), ("bands", T.ArrayType(T.LongType()))]
+    added = [("node", T.LongType()), ("n", T.LongType()), ("fp", T.LongType()), ("bands", T.ArrayType(T.LongType()))]
     return with_arrow_columns(docs, text, added, make, keep)
 
 
@@ -185,26 +189,51 @@ def _dealt(members: DataFrame) -> DataFrame:
     return placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "c")
 
 
+def mask_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, n, fp) that covering masks bring together, to be compared: the smallest
+    nodes of two fingerprints that are linked, and nodes of one fingerprint with the smallest of them. Pairs
+    whose sizes are too far apart to be similar are left out."""
+    heads = stored(nodes.groupBy("fp").agg(F.min("node").alias("head")), "prints")
+    met = stored(simhash.fingerprint_links(heads.select("fp")), "masks")
+    first, second = heads.toDF("a", "x"), heads.toDF("b", "y")
+    across = met.join(first, "a").join(second, "b").select("x", "y")
+    alike = nodes.join(heads, "fp").where("node <> head").selectExpr("head AS x", "node AS y")
+    sizes = nodes.select("node", "n")
+    sized = across.unionAll(alike).join(sizes.toDF("x", "n"), "x").join(sizes.toDF("y", "m"), "y").where(_near())
+    return stored(sized.selectExpr("least(x, y) AS a", "greatest(x, y) AS b").distinct(), "mask-pairs")
+
+
+def _near() -> Column:
+    """Sets of ``n`` and ``m`` shingles can be similar."""
+    return F.least("n", "m") * UNDER >= F.greatest("n", "m") * OVER
+
+
 def copy_links(nodes: DataFrame, texts_of) -> DataFrame:
-    """Links (a, b) among ``nodes`` (node, n, bands), with the same components as all pairs that are
-    similar and agree in a band. ``texts_of`` gives (node, text) for the nodes of a table.
+    """Links (a, b) among ``nodes`` (node, n, fp, bands), with the same components as all pairs that are
+    similar and agree in a band or meet by the masks. ``texts_of`` gives (node, text) for the nodes of a table.
 
-    Two steps, whatever the buckets hold. First each member of a bucket is compared with its smallest
-    member, which joins most copies at one comparison each. Then buckets with several components
+    What the masks bring together is compared first. Then two steps, whatever the buckets of bands hold. First each member of a bucket is compared with its smallest
+    member, unless the masks have linked them, which joins most copies at one comparison each. Then buckets with several components
     are compared in full, in blocks; of each a task gives out no more links than join it.
     """
     spark = nodes.sparkSession
     members = stored(nodes.select(F.explode("bands").alias("key"), "node", "n"), "bands")
     many = members.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("many"))
     members = stored(members.join(stored(many.where("many > 1"), "buckets"), "key"), "members")
-    if members.isEmpty():
+    close = mask_pairs(nodes.select("node", "n", "fp"))
+    if members.isEmpty() and close.isEmpty():
         return spark.createDataFrame([], "a long, b long")
-    texts = stored(texts_of(members.select("node").distinct()), "texts")
+    compared = members.select("node").unionAll(close.select("a")).unionAll(close.select("b"))
+    texts = stored(texts_of(compared.distinct()), "texts")
+    linked = stored(_verified(close, texts), "mask-links")
+    labels = stored(components(linked), "mask-components")
     sizes = members.select("node", "n").distinct().select(F.col("node").alias("least"), F.col("n").alias("m"))
-    near = F.least("n", "m") * UNDER >= F.greatest("n", "m") * OVER
     star = stored(members.where(F.col("node") != F.col("least")).select("least", "node", "n").distinct(), "heads")
-    pairs = stored(star.join(sizes, "least").where(near).selectExpr("least AS a", "node AS b"), "pairs")
-    links = stored(_verified(pairs, texts), "copies")
+    of_least, of_node = labels.toDF("least", "c"), labels.toDF("node", "d")
+    apart = F.coalesce(F.col("c") != F.col("d"), F.lit(True))
+    asked = star.join(sizes, "least").where(_near()).join(of_least, "least", "left").join(of_node, "node", "left").where(apart)
+    pairs = stored(asked.selectExpr("least AS a", "node AS b"), "pairs")
+    links = stored(linked.unionAll(_verified(pairs, texts)), "copies")
     # buckets of two are done
     left = members.where("many > 2").select("key", "node", "n")
     named = left.join(components(links), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
@@ -225,7 +254,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     own = [c for c in docs.columns if c.lower() != "component_id"]
     tagged = unused(docs, "component_id", "__tag", "__node").withColumn("__tag", F.xxhash64(F.col(f"`{text}`")))
     marked = stored(sketches(tagged, text, [doc_id, "__tag"]).withColumnRenamed(doc_id, "__id"), "sketches")
-    grouped = marked.groupBy("node").agg(F.min("__id").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("__id", "__tag")).alias("at"))
+    grouped = marked.groupBy("node").agg(F.min("__id").alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct("__id", "__tag")).alias("at"))
     nodes = stored(grouped, "nodes")
 
     def texts_of(asked: DataFrame) -> DataFrame:
@@ -233,7 +262,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (tagged["__tag"] == places["__tag"])
         return tagged.join(places, same).select("node", F.col(f"`{text}`").alias("text")).dropDuplicates(["node"])
 
-    labels = components(copy_links(nodes.select("node", "n", "bands"), texts_of))
+    labels = components(copy_links(nodes.select("node", "n", "fp", "bands"), texts_of))
     smallest = nodes.join(labels, "node").groupBy("component").agg(F.min("first").alias("smallest"))
     linked = stored(labels.join(stored(smallest, "smallest"), "component").select("node", "smallest"), "linked")
     ids = stored(nodes.join(linked, "node", "left").select("node", F.coalesce("smallest", "first").alias("component_id")), "ids")

@@ -46,6 +46,15 @@ def _fingerprint(text: str | None, width: int) -> int:
     return int.from_bytes(np.packbits(votes * 2 > many).tobytes(), "big", signed=True)
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of some 64-bit hashes, each counted as often as it stands there; 0 for none."""
+    votes = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), _BLOCK):
+        part = hashes[i : i + _BLOCK].astype(np.dtype(">u8"))
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > len(hashes)).tobytes(), "big", signed=True)
+
+
 def fingerprints(docs: DataFrame, text: str = "text", width: int = 3, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``simhash`` (long) of the whole text: words without white space, A-Z in lower
     case, shingles of ``width`` words, repeats included. A text with fewer words is one shingle;

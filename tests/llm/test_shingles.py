@@ -134,3 +134,43 @@ def test_links_of_a_bucket_join_what_all_pairs_join():
             got[find(labels[a], got)] = find(labels[b], got)
         assert {frozenset(i for i in range(n) if find(labels[i], got) == c) for c in (find(x, got) for x in labels)} == want
         assert len(links) < len(set(labels))
+
+
+def test_masks_link_close_fingerprints_without_any_band(spark):
+    """Texts whose fingerprints differ in 2 bits or fewer are compared by the covering masks alone; a pair that
+    meets and is not similar does not link."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(600)]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            texts.append(" ".join([*words[: rng.randrange(595, 600)], "end"]))
+    tune(spark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = shingles.sketches(docs, "text", ["doc_id", "text"]).withColumn("bands", F.array().cast("array<bigint>")).localCheckpoint()
+    rows = {r["node"]: r for r in made.collect()}
+    of_text = lambda asked: made.join(asked, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    links = shingles.copy_links(made.select("node", "n", "fp", "bands").dropDuplicates(["node"]), of_text).collect()
+    sets = {n: shingles.shingle_set(r["text"]) for n, r in rows.items()}
+    close = [(a, b) for a in rows for b in rows if a < b and ((rows[a]["fp"] ^ rows[b]["fp"]) & (1 << 64) - 1).bit_count() <= 2]
+    alike = {p for p in close if shingles.similar(sets[p[0]], sets[p[1]])}
+    assert len(alike) > 10
+    assert {(r["a"], r["b"]) for r in links} <= {(a, b) for a in rows for b in rows if a < b and shingles.similar(sets[a], sets[b])}
+
+    def parts(pairs):
+        root = {n: n for n in rows}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in pairs:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        return {n: find(n) for n in rows}
+
+    assert parts([(r["a"], r["b"]) for r in links]) == parts(alike)
