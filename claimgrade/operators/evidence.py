@@ -37,7 +37,9 @@ def expand(entities: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
     """
     hits = ", ".join(_hit(t) for t in cfg.lexicon)
     kept = [c for c in entities.columns if c != "capability"]
-    return entities.select(*kept, F.expr(f"inline(array({hits}))"))
+    # the flags are made in a projection of their own, which is compiled; inside a generator they are interpreted
+    found = entities.select(*kept, F.expr(f"array({hits})").alias("_hits"))
+    return found.select(*kept, F.inline_outer("_hits"))
 
 
 def hits(entities: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:

@@ -37,6 +37,7 @@ def call(
     folder: str,
     concurrency: int | None = None,
     groups: int = GROUPS,
+    shown: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Answers as ``raw_response_json``, or ``call_error`` where the reviewer raised.
 
@@ -46,27 +47,32 @@ def call(
     for good; a request whose call failed is asked anew.
 
     ``concurrency`` is the number of tasks that call at the same time; without it the
-    shuffle partitions of the session.
+    shuffle partitions of the session. ``shown`` puts the prompts to the requests where they
+    have none yet: they are made where they are shown, and neither stored nor moved with the answers.
     """
     spark = requests.sparkSession
     tasks = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = materialise(requests, "requests")
+    dealt = requests.withColumn("_group", F.pmod(F.xxhash64("request_id"), F.lit(groups)).cast("int"))
+    wanted = materialise(dealt, "requests", ("_group",))
     schema = T.StructType(
         [T.StructField(n, T.StringType()) for n in ("request_id", "raw_response_json", "call_error")]
     )
     ask = _asker(reviewer)
+    # answers of an earlier run: what is appended below is of other groups
+    before = _stored(spark, folder, schema).select("request_id") if path_exists(spark, folder) else None
     for group in range(groups):
-        part = wanted.where(F.pmod(F.xxhash64("request_id"), F.lit(groups)) == group)
-        part = part.join(_stored(spark, folder, schema).select("request_id"), "request_id", "left_anti")
-        shown = part.select("request_id", "system_prompt", "user_prompt")
+        part = wanted.where(F.col("_group") == group)
+        if before is not None:
+            part = part.join(before, "request_id", "left_anti")
+        prompted = (shown(part) if shown else part).select("request_id", "system_prompt", "user_prompt")
         # a given number of parts, which adaptive execution does not put together
-        shown.repartition(tasks, "request_id").mapInPandas(ask, schema).write.mode("append").parquet(folder)
+        prompted.repartition(tasks, "request_id").mapInPandas(ask, schema).write.mode("append").parquet(folder)
     # an answer that came beside an earlier failure counts
     answers = _stored(spark, folder, schema).groupBy("request_id").agg(
         F.max("raw_response_json").alias("raw_response_json"), F.max("call_error").alias("call_error")
     )
     answers = answers.withColumn("call_error", F.when(F.col("raw_response_json").isNull(), F.col("call_error")))
-    return wanted.join(answers, "request_id")
+    return wanted.drop("_group").join(answers, "request_id")
 
 
 def _asker(reviewer: Reviewer) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -86,7 +92,7 @@ def _asker(reviewer: Reviewer) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
                     raise ValueError(f"{len(answers)} answers to {len(frame)} requests")
             except Exception:
                 # one request must not cost the others their answer: ask one by one
-                answers = [one(frame.iloc[[i]]) for i in range(len(frame))]
+                answers = [one(frame.iloc[i : i + 1]) for i in range(len(frame))]
             columns = {"raw_response_json": [a for a, _ in answers], "call_error": [e for _, e in answers]}
             yield pd.DataFrame({"request_id": frame["request_id"].to_numpy(), **columns}).astype(object)
 
@@ -125,10 +131,13 @@ def run(
     kind = "facility" if batch else "row"
     key = F.concat_ws(":", F.lit(run_id), F.lit(kind), "unique_id", F.array_join("capabilities", "+"))
     folder = answers or f"{shared_folder(requests.sparkSession).rstrip('/')}/claimgrade/answers-{uuid.uuid4().hex}"
-    open_requests = prompts.render(requests, batch, template).withColumn("base_id", key)
+    open_requests = requests.withColumn("base_id", key)
 
-    def asked(frame: DataFrame, name: str) -> DataFrame:
-        said = call(frame, reviewer, f"{folder.rstrip('/')}/{kind}/{run_id}/{name}", concurrency, groups)
+    def prompted(frame: DataFrame) -> DataFrame:
+        return prompts.render(frame, batch, template)
+
+    def asked(frame: DataFrame, name: str, shown: Callable[[DataFrame], DataFrame] = prompted) -> DataFrame:
+        said = call(frame, reviewer, f"{folder.rstrip('/')}/{kind}/{run_id}/{name}", concurrency, groups, shown)
         parsed = parse.parse(said, batch)
         failed = F.concat(F.lit(CALL_FAILED), F.col("call_error"))
         return parsed.withColumn("error", F.coalesce(failed, "error")).drop("call_error")
@@ -140,18 +149,20 @@ def run(
         done.append(first.where("error IS NULL"))
         failed = first.where("error IS NOT NULL")
         if failed.isEmpty():
-            return _union(done)
+            break
         can = _repairable(batch)
         second = materialise(
-            failed.where(~can).unionByName(_repair(failed.where(can), lambda f: asked(f, f"repair{attempt}"), batch)),
+            failed.where(~can).unionByName(_repair(failed.where(can), lambda f, shown: asked(f, f"repair{attempt}", shown), batch)),
             "repaired",
         )
         done.append(second.where("error IS NULL"))
         failed = second.where("error IS NOT NULL")
         if attempt == rounds or failed.isEmpty():
-            return _union([*done, failed])
+            done.append(failed)
+            break
         open_requests = failed.select(*open_requests.columns)
-    return _union(done)
+    # the prompts follow from the request: whoever wants them beside the answer has them made again
+    return prompted(_union(done))
 
 
 def _repairable(batch: bool) -> Column:
@@ -167,23 +178,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _repair(failed: DataFrame, ask: Callable[[DataFrame], DataFrame], batch: bool) -> DataFrame:
+def _repair(failed: DataFrame, ask: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame], batch: bool) -> DataFrame:
     """One more call that only has to bring the previous answer into form."""
-    kept = {"user_prompt": "_user", "system_prompt": "_system", "raw_response_json": "_raw", "request_id": "_id"}
-    prior = F.coalesce("assistant_text", "_raw")
+    kept = {"raw_response_json": "_raw", "request_id": "_id"}
     asked = (
         failed.withColumnsRenamed(kept)
-        .withColumns(
-            {
-                "system_prompt": F.lit(prompts.REPAIR_SYSTEM),
-                "user_prompt": prompts.repair_prompt(prior, batch),
-                "request_id": F.concat("_id", F.lit(":repair")),
-            }
-        )
+        .withColumns({"_prior": F.coalesce("assistant_text", "_raw"), "request_id": F.concat("_id", F.lit(":repair"))})
         .drop("assistant_text", "error", "records")
     )
-    parsed = ask(asked)
-    return parsed.drop(*kept).withColumnsRenamed({v: k for k, v in kept.items()})
+
+    def shown(frame: DataFrame) -> DataFrame:
+        prompt = prompts.repair_prompt(F.col("_prior"), batch)
+        return frame.withColumns({"system_prompt": F.lit(prompts.REPAIR_SYSTEM), "user_prompt": prompt})
+
+    parsed = ask(asked, shown)
+    return parsed.drop("_prior", *kept).withColumnsRenamed({v: k for k, v in kept.items()})
 
 
 def with_model(answered: DataFrame) -> DataFrame:

@@ -62,15 +62,15 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, in folders by ``partition_by``, and read it back.
 
     Used where work must not be repeated when a later stage is recomputed, such as
     calls to an outside reviewer.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/claimgrade/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
