@@ -246,6 +246,13 @@ def inputs(
     return stamped.withColumnsRenamed(HEURISTIC).select(*ROW_COLUMNS)
 
 
+def with_payload(graded: DataFrame, snapshot_ts: datetime | str | None = None) -> DataFrame:
+    """Graded rows with fingerprint and payload, as ``render`` makes them from stored rows: no join, as graded rows
+    still have the evidence of their entity."""
+    stamped = with_fingerprint(graded).withColumn("input_snapshot_ts", snapshot(snapshot_ts))
+    return stamped.withColumn("llm_input_json", _payload())
+
+
 def evidence(profiles: DataFrame) -> DataFrame:
     """The evidence behind the inputs, once per entity."""
     named = profiles.withColumnsRenamed(RENAMED).withColumnRenamed("source_urls_arr", "citation_urls")

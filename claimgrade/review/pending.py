@@ -64,6 +64,8 @@ def pending(
     mode: str = "entity",
     limit: int | None = None,
     failed: DataFrame | None = None,
+    also: tuple[str, ...] = (),
+    placed: bool = False,
 ) -> DataFrame:
     """Inputs whose evidence has no latest review under this prompt version.
 
@@ -72,13 +74,16 @@ def pending(
     pending rows are returned, unsorted: the caller runs them in one distributed pass.
     ``failed`` holds keys that were given up in this run and are not taken again.
 
-    Works on keys and fingerprints alone; texts are put to the rows that are left.
+    Works on keys and fingerprints alone; texts are put to the rows that are left. ``also`` are
+    columns of the inputs that are kept. With ``placed`` the inputs come partitioned by id: they stay
+    where they are, meet a hash table of the reviews of their task, and are not sorted.
     """
     rows = inputs.select(
         *KEY,
         F.col("name").alias("facility_name"),
         "evidence_fingerprint",
         F.date_format("input_snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("source_snapshot_ts"),
+        *also,
     )
     if capability is not None:
         rows = rows.where(F.col("capability") == capability)
@@ -86,6 +91,8 @@ def pending(
         rows = rows.where(F.col("unique_id") == unique_id)
     if not force:
         latest = latest_for_prompt(reviews, prompt_version)
+        if placed:
+            latest = latest.hint("shuffle_hash")
         rows = rows.join(latest, [*KEY, "evidence_fingerprint"], "left_anti")
     if failed is not None:
         rows = rows.join(failed.select(*KEY).distinct(), KEY, "left_anti")
@@ -139,13 +146,18 @@ def single_requests(pending_rows: DataFrame, inputs: DataFrame, shared: DataFram
     The payload is made for the pending rows only, from their ``inputs`` and the
     evidence of their entity.
     """
-    item = F.struct("capability", "evidence_fingerprint", "source_snapshot_ts")
     asked = pending_rows.select(F.col("unique_id").alias("_id"), F.col("capability").alias("_capability"))
     # null-safe: an entity may have no id
     same = F.col("unique_id").eqNullSafe(F.col("_id")) & (F.col("capability") == F.col("_capability"))
     chosen = inputs.join(asked, same, "left_semi")
     payloads = render(chosen, shared).select(F.col("unique_id").alias("_id"), F.col("capability").alias("_capability"), "llm_input_json")
-    return pending_rows.join(payloads, same).select(
+    return as_requests(pending_rows.join(payloads, same))
+
+
+def as_requests(rows: DataFrame) -> DataFrame:
+    """Pending rows that have their payload, one request each."""
+    item = F.struct("capability", "evidence_fingerprint", "source_snapshot_ts")
+    return rows.select(
         "unique_id",
         "facility_name",
         F.array(item).alias("requested"),
