@@ -117,7 +117,8 @@ def overlay(reviewed: DataFrame) -> DataFrame:
     )
 
 
-def decide_final(overlaid: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
+def decide_final(overlaid: DataFrame, cfg: GradingConfig = FACILITY, also: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of the mart, and ``also`` as they are."""
     decided = decide(overlaid, cfg.final_ladder, cfg)
     document = [
         *evidence_fields(),
@@ -133,12 +134,12 @@ def decide_final(overlaid: DataFrame, cfg: GradingConfig = FACILITY) -> DataFram
     ]
     return decided.withColumns(
         {"explanation": explanation(final=True), "evidence_json": F.to_json(F.struct(*document))}
-    ).select(*MART_COLUMNS)
+    ).select(*MART_COLUMNS, *also)
 
 
-def final(reviewed: DataFrame, cfg: GradingConfig = FACILITY) -> DataFrame:
-    """Mart from graded rows that already carry their review columns (no further join)."""
-    return decide_final(overlay(reviewed), cfg)
+def final(reviewed: DataFrame, cfg: GradingConfig = FACILITY, also: tuple[str, ...] = ()) -> DataFrame:
+    """Mart from graded rows that already carry their review columns (no further join); ``also`` are kept."""
+    return decide_final(overlay(reviewed), cfg, also)
 
 
 def final_from_tables(

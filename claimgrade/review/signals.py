@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimgrade.functions.text import EMPTY_JSON_ARRAY, json_array
 from claimgrade.operators.clean import first_per
+from claimgrade.review.inputs import with_fingerprint
 from claimgrade.review.pending import KEY
 
 PROVENANCE = ("prompt_version", "model_name", "model_version", "run_id", "source_snapshot_ts", "inference_ts")
@@ -93,20 +94,22 @@ def typed(reviews: DataFrame) -> DataFrame:
     ).drop("parsed_json", *map(_name, FIELDS))
 
 
-def attach(fingerprinted: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Put the latest review and its status beside rows that carry a fingerprint.
+def attach(rows: DataFrame, reviews: DataFrame, placed: bool = False) -> DataFrame:
+    """Put the latest review and its status beside rows that carry a fingerprint, or from which it can be made.
 
     Rows keep all their columns, so the mart needs no second join. Rows that come
-    partitioned by id stay where they are; only the reviews are moved.
+    partitioned by id stay where they are; only the reviews are moved. A fingerprint that
+    is missing is made behind the join, so only for rows that have a review if nothing else asks for it.
+    With ``placed`` the rows do come that way: they meet a hash table of the reviews of their task, and are not sorted.
     """
     reviewed = (
         typed(latest(reviews))
         .withColumnRenamed("evidence_fingerprint", "reviewed_evidence_fingerprint")
         .withColumn("_reviewed", F.lit(True))
     )
-    joined = fingerprinted.join(reviewed, KEY, "left").withColumnRenamed(
-        "evidence_fingerprint", "current_evidence_fingerprint"
-    )
+    joined = rows.join(reviewed.hint("shuffle_hash") if placed else reviewed, KEY, "left")
+    made = joined if "evidence_fingerprint" in rows.columns else with_fingerprint(joined)
+    joined = made.withColumnRenamed("evidence_fingerprint", "current_evidence_fingerprint")
     same = F.col("reviewed_evidence_fingerprint") == F.col("current_evidence_fingerprint")
     return joined.withColumns(
         {

@@ -7,7 +7,7 @@ the keys. Moduli differ so that columns do not move together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2001-08-01"
@@ -380,11 +380,20 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = No
     return spark.sql(quoted, source=source, **others)
 
 
+def _fresh() -> Column:
+    return F.col("event_id") % 3 == 0
+
+
+def present_keys(responses: DataFrame) -> DataFrame:
+    """Keys of the rows whose fingerprints ``reviews`` looks at."""
+    return responses.where(_fresh()).select("unique_id", "capability").distinct()
+
+
 def reviews(responses: DataFrame, fingerprints: DataFrame) -> DataFrame:
     """Landing rows: every third review was made on the present evidence."""
     key = ["unique_id", "capability"]
     present = fingerprints.select(*key, F.col("evidence_fingerprint").alias("_now"))
-    fresh = F.col("event_id") % 3 == 0
+    fresh = _fresh()
     old = F.concat(F.lit("old-"), F.col("event_id").cast("string"))
     return responses.join(present, key, "left").select(
         "unique_id",
