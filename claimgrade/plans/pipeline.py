@@ -54,7 +54,16 @@ def rebuild(
     # per row the keys, the fingerprint and the verdict; the texts stay in the profiles
     out["inputs"] = store.write(review_inputs.inputs(graded, snapshot_ts), "inputs")
     reviews = tables.create_landing(store.spark, landing)
-    return out | refresh(store, reviews, cfg)
+    out["signals"] = store.write(signals.signals(out["inputs"], reviews), "signals")
+    # graded rows meet the reviews as they are made; stored baseline and signals are joined only by a refresh
+    final = mart.final(_as_from_tables(signals.attach(graded, reviews)), cfg)
+    return out | {"mart": store.write(final, "mart", ("capability",))}
+
+
+def _as_from_tables(reviewed: DataFrame) -> DataFrame:
+    """An entity without an id finds no signals in a join of tables, so nothing is known about its reviews."""
+    named = F.col("unique_id").isNotNull()
+    return reviewed.withColumns({c: F.when(named, F.col(c)) for c in ("has_llm_review", "llm_review_status")})
 
 
 def refresh(store: StageStore, reviews: DataFrame, cfg: GradingConfig = FACILITY) -> dict[str, DataFrame]:
