@@ -2,17 +2,21 @@
 
 A lexicon has one row per term: ``capability``, ``rule`` (what a hit means), ``term`` (a lower-case piece
 of text) and ``anchored`` (only at the begin of the text). The terms of a channel become one pattern (see
-``functions.patterns``); what it finds meets the table in a hash join, so neither the plan nor the
-time for a text grows with the number of terms.
+``functions.patterns``), so neither the plan nor the time for a text grows with the number of terms. A row
+gives the (capability, rule) pairs it meets as numbers, and a text is read until it has met all there are for it.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrade.config import FACILITY, GradingConfig
-from claimgrade.functions.patterns import begun_by, first_term, longest_terms
+from claimgrade.functions.patterns import finder
 
 LEXICON = "capability string, rule string, term string, anchored boolean"
 # text channel of each rule
@@ -23,7 +27,7 @@ CHANNELS = {
     "screening_any": "full_text",
     "screening_none": "full_text",
 }
-# a lexicon is made by people: beyond this it is no lexicon, and its pattern would not fit a plan
+# a lexicon is made by people: beyond this it is no lexicon, and every task has it as a pattern
 MOST_TERMS, MOST_CHARACTERS = 50_000, 2_000_000
 
 
@@ -54,9 +58,43 @@ def _place(rule: str, anchored: bool) -> str:
     return f"^{CHANNELS[rule]}" if anchored else CHANNELS[rule]
 
 
-def _found(place: str, terms: list[str]) -> Column:
-    found = first_term(F.col(place[1:]), terms) if place.startswith("^") else longest_terms(F.col(place), terms)
-    return F.transform(found, lambda t: F.struct(F.lit(place).alias("place"), t.alias("longest")))
+def _letters(utf8: bytes) -> str:
+    """A text of one letter per byte. A letter's bytes never begin inside another's, so terms are found where they stand."""
+    return utf8.decode("latin-1")
+
+
+def _reader(anywhere: dict[str, set[int]], at_begin: dict[str, set[int]]) -> Callable[[str], set[int]]:
+    """A function from a text to the numbers of the terms in it and at its begin, of which each term has some."""
+    find = finder(anywhere)
+    lengths = {len(term) for term in at_begin}
+    all_numbers = set().union(*anywhere.values(), *at_begin.values())
+
+    def read(text: str) -> set[int]:
+        met: set[int] = set()
+        for length in lengths:
+            met |= at_begin.get(text[:length], set())
+        for term in find(text):
+            met |= anywhere[term]
+            if len(met) == len(all_numbers):
+                break
+        return met
+
+    return read
+
+
+def _met(places: dict[str, dict[str, set[int]]]) -> Column:
+    """The numbers that the channels of a row meet; ``places`` has them by place and term."""
+    channels = sorted({place.removeprefix("^") for place in places})
+
+    @F.arrow_udf("array<int>")
+    def met(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        readers = [_reader(places.get(c, {}), places.get(f"^{c}", {})) for c in channels]
+        for batch in batches:
+            rows = zip(*batch.flatten(), strict=True)
+            numbers = [set().union(*[read(_letters(t.as_py() or b"")) for read, t in zip(readers, row, strict=True)]) for row in rows]
+            yield pa.array(map(sorted, numbers), pa.list_(pa.int32()))
+
+    return met(F.struct(*[F.col(c).cast("binary").alias(c) for c in channels]))
 
 
 def matches(texts: DataFrame, lexicon: DataFrame, key: str = "unique_id") -> DataFrame:
@@ -65,25 +103,20 @@ def matches(texts: DataFrame, lexicon: DataFrame, key: str = "unique_id") -> Dat
     ``texts`` has ``key`` and the text channels; rows of one key count together. Rows without any
     match have an empty list. ``lexicon`` is read once, see ``read``.
     """
-    spark = texts.sparkSession
     rows = read(lexicon)
-    places: dict[str, set[str]] = {}
-    for _, rule, term, anchored in rows:
-        places.setdefault(_place(rule, anchored), set()).add(term)
-    meaning: dict[tuple[str, str], set[tuple[str, str]]] = {}
+    pairs = sorted({r[:2] for r in rows})
+    number = {pair: i for i, pair in enumerate(pairs)}
+    places: dict[str, dict[str, set[int]]] = {}
     for capability, rule, term, anchored in rows:
-        meaning.setdefault((_place(rule, anchored), term), set()).add((capability, rule))
-    # what the longest term at a place says, the shorter ones that begin it included
-    says = {
-        (place, longest, *what) for place, terms in places.items() for longest, term in begun_by(terms) for what in meaning[place, term]
-    }
-    known = spark.createDataFrame(sorted(says), "place string, longest string, capability string, rule string")
-    found = F.concat(*[_found(place, sorted(terms)) for place, terms in sorted(places.items())]) if places else F.array().cast("array<struct<place:string,longest:string>>")
-    # the matcher runs in a projection of its own: texts go no further
-    each = texts.select(key, found.alias("found")).select(key, F.inline_outer("found"))
-    met = each.join(F.broadcast(known), ["place", "longest"], "left")
-    pair = F.when(F.col("capability").isNotNull(), F.struct("capability", "rule"))
-    return met.groupBy(key).agg(F.collect_set(pair).alias("met"))
+        numbers = places.setdefault(_place(rule, anchored), {}).setdefault(_letters(term.encode()), set())
+        numbers.add(number[capability, rule])
+    found = _met(places) if places else F.array().cast("array<int>")
+    # the matcher runs in a projection of its own: texts go no further, only numbers move
+    each = texts.select(key, found.alias("found")).select(key, F.explode_outer("found").alias("number"))
+    met = each.groupBy(key).agg(F.collect_set("number").alias("numbers"))
+    # one literal, however many pairs there are
+    said = F.from_json(F.lit(json.dumps([{"capability": c, "rule": r} for c, r in pairs])), "array<struct<capability:string,rule:string>>")
+    return met.select(key, F.transform("numbers", lambda n: F.get(said, n)).alias("met"))
 
 
 def hits(texts: DataFrame, lexicon: DataFrame, key: str = "unique_id") -> DataFrame:

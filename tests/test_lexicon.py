@@ -122,3 +122,60 @@ def test_pattern_finds_the_longest_at_each_place(terms, text):
     want = [(i, max((t for t in terms if text.startswith(t, i)), key=len)) for i in range(len(text)) if any(text.startswith(t, i) for t in terms)]
     assert got == want
     assert {(a, b) for a, b in patterns.begun_by(terms)} == {(a, b) for a in terms for b in terms if a.startswith(b)}
+
+
+def test_a_text_is_read_until_it_has_met_all(monkeypatch):
+    """Behind the place where nothing new can be met, no term is looked for."""
+    asked = []
+
+    def counted(terms):
+        find = patterns.finder(terms)
+        return lambda text: (asked.append(term) or term for term in find(text))
+
+    monkeypatch.setattr(lexicon, "finder", counted)
+    read = lexicon._reader({"a b": {0}, "b": {1}, "c": {2}}, {"d": {2}})
+    assert read("d a b" + " a b b" * 1000) == {0, 1, 2} and asked == ["a b", "b"]
+    asked.clear()
+    assert read("b" * 1000) == {1} and len(asked) == 1000
+
+
+def test_a_row_gives_pairs_and_not_terms(spark):
+    """Thousands of different terms in a text are as few rows as there are pairs to meet."""
+    words = [f"t{i}." for i in range(3000)]
+    terms = spark.createDataFrame([(f"c{i % 2}", "claim", w, False) for i, w in enumerate(words)], lexicon.LEXICON)
+    met = lexicon.matches(frame(spark, [("k", "", " ".join(words), "", ""), ("n", "", "t", "", "")]), terms)
+    assert {r["unique_id"]: sorted(p["capability"] for p in r["met"]) for r in met.collect()} == {"k": ["c0", "c1"], "n": []}
+
+    def given(plan):
+        named = plan.getClass().getSimpleName()
+        own = [plan.metrics().get("numOutputRows").get().value()] if named == "GenerateExec" else []
+        if named == "AdaptiveSparkPlanExec":
+            return given(plan.executedPlan())
+        if named.endswith("QueryStageExec"):
+            return given(plan.plan())
+        children = plan.children()
+        return own + [n for i in range(children.size()) for n in given(children.apply(i))]
+
+    assert given(met._jdf.queryExecution().executedPlan()) == [3]
+
+
+def test_long_terms_that_begin_one_another(spark):
+    letters = "é日x"
+    words = [(letters * 200)[:n] for n in range(1, 600, 7)]
+    terms = [(f"c{i % 9}", rule, w, i % 5 == 0) for i, w in enumerate(words) for rule in ("structured", "prose")]
+    rows = [(f"k{n}", (letters * 300)[n : n + 40 * n], "", "x" + (letters * 300)[n : n + 30 * n], "") for n in range(12)]
+    assert found(lexicon.hits(frame(spark, rows), spark.createDataFrame(terms, lexicon.LEXICON))) == plain(rows, terms)
+
+
+def test_bytes_that_are_no_text(spark):
+    rows = spark.range(1).select(F.lit("k").alias("unique_id"), F.lit("").alias("spec_eq_text"), F.expr("cast(unhex('FF616263C3') AS string)").alias("claim_text"), F.lit("").alias("prose_text"), F.lit("").alias("full_text"))
+    terms = spark.createDataFrame([("c", "claim", "abc", False), ("d", "claim", "é", False)], lexicon.LEXICON)
+    assert {k: v[1] for k, v in found(lexicon.hits(rows, terms)).items()} == {("k", "c"): True, ("k", "d"): False}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.text("ab.é", min_size=1, max_size=24), min_size=1, max_size=12), st.text("ab.é", max_size=60), st.data())
+def test_finder_finds_every_term_at_every_place(terms, text, data):
+    text += data.draw(st.sampled_from(sorted(terms)))
+    got = sorted(patterns.finder(terms)(text))
+    assert got == sorted(t for i in range(len(text)) for t in terms if text.startswith(t, i))
