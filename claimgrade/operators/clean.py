@@ -43,6 +43,8 @@ PARSED_ARRAYS = {
     "source_urls": "source_urls_arr",
     "source_types": "source_types_arr",
 }
+# columns of ``text_channels``
+CHANNELS = ("spec_eq_text", "claim_text", "prose_text", "full_text")
 
 
 def is_valid(cfg: GradingConfig = FACILITY) -> Column:

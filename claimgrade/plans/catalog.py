@@ -105,7 +105,17 @@ class Stages:
 
     @stage
     def stories(self) -> DataFrame:
-        return grading.grade(self.shared(self.story_profiles()), as_of=testdata.AS_OF)
+        # from the stored profiles where the query has stored them
+        stored = ("placed_stories",) in self.made
+        return grading.grade(self.shared(self.placed_stories() if stored else self.story_profiles()), as_of=testdata.AS_OF)
+
+    @stage
+    def placed_stories(self) -> DataFrame:
+        """The story profiles stored once, in slices of the id: what is made of them stands in its slice. The
+        channels repeat whole texts up to three times: they are made behind the store again."""
+        slices = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        store = SlicedStore(self.spark, self.folder(), f"story_{uuid.uuid4().hex}", slices=slices)
+        return clean.text_channels(store.write(self.story_profiles().drop(*UNREAD, *clean.CHANNELS), "profiles"))
 
     @stage
     def bridge(self) -> DataFrame:
@@ -524,9 +534,11 @@ def story_grades(s: Stages) -> DataFrame:
 @query
 def story_payload(s: Stages) -> DataFrame:
     """Fingerprint and payload over whole texts, read back."""
+    # whole texts are moved to their slice once, and stay there in the join of both sides
+    profiles = s.placed_stories()
     inputs = review_inputs.inputs(s.stories(), testdata.SNAPSHOT_TS)
     texts = ("source_evidence.description", "source_evidence.claim_text", "source_evidence.full_text")
-    rendered = review_inputs.render(inputs, review_inputs.evidence(s.story_profiles()))
+    rendered = review_inputs.render(inputs, review_inputs.evidence(profiles), placed=True)
     return nested_fields(rendered.select("unique_id", "capability", "evidence_fingerprint", "llm_input_json"), "llm_input_json", *texts)
 
 

@@ -259,14 +259,23 @@ def evidence(profiles: DataFrame) -> DataFrame:
     return named.select(*EVIDENCE_COLUMNS)
 
 
-def render(rows: DataFrame, shared: DataFrame) -> DataFrame:
+def render(rows: DataFrame, shared: DataFrame, placed: bool = False) -> DataFrame:
     """Input rows with their entity's evidence and the nested payload, for those who ask for it.
 
-    ``rows`` are rows of ``inputs``, all or some, and ``shared`` is ``evidence``.
+    ``rows`` are rows of ``inputs``, all or some, and ``shared`` is ``evidence``. With ``placed`` both come
+    partitioned by id and stay where they are; only rows without an id are moved.
     """
     # null-safe: an entity may have no id
     own = shared.withColumnRenamed("unique_id", "_id")
-    whole = rows.join(own, F.col("unique_id").eqNullSafe(F.col("_id"))).drop("_id").withColumnsRenamed({new: old for old, new in HEURISTIC.items()})
+    same = F.col("unique_id").eqNullSafe(F.col("_id"))
+    if placed:
+        # Spark does not see the partitioning by id in a null-safe join
+        joined = rows.join(own, F.col("unique_id") == F.col("_id")).unionByName(
+            rows.where("unique_id IS NULL").join(own.where("_id IS NULL"), same)
+        )
+    else:
+        joined = rows.join(own, same)
+    whole = joined.drop("_id").withColumnsRenamed({new: old for old, new in HEURISTIC.items()})
     made = whole.withColumns(
         {
             "citation_urls_json": F.to_json("citation_urls"),
