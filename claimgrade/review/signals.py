@@ -36,11 +36,12 @@ SIGNAL_COLUMNS = (
 )
 
 
-def latest(reviews: DataFrame) -> DataFrame:
+def latest(reviews: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """Latest review per key over all prompt versions.
 
     The raw answers are left behind before the shuffle; of a long review history
-    each task sends one row per key.
+    each task sends one row per key. ``also`` are columns that are kept; among equal
+    reviews their smallest counts.
     """
     order = [
         F.col(c).desc_nulls_last()
@@ -53,8 +54,8 @@ def latest(reviews: DataFrame) -> DataFrame:
             "evidence_fingerprint",
         )
     ]
-    narrow = reviews.select(*KEY, "evidence_fingerprint", *PROVENANCE, "parsed_json")
-    return first_per(narrow, [F.col(k) for k in KEY], order)
+    narrow = reviews.select(*KEY, "evidence_fingerprint", *PROVENANCE, "parsed_json", *also)
+    return first_per(narrow, [F.col(k) for k in KEY], [*order, *map(F.asc, also)])
 
 
 def _name(field: str) -> str:

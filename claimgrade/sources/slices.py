@@ -8,7 +8,8 @@ partition it can be read alone and replaced alone; the other slices' files are n
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from claimgrade.session import materialise
 
 SLICE = "slice"
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+# property of a table: slices whose replacement has begun and not ended
+_OPEN = "claimgrade.open"
 
 
 class SlicedStore:
@@ -39,18 +43,34 @@ class SlicedStore:
         """The number of a key's slice: what bucketing takes, so a slice is one bucket."""
         return F.pmod(F.hash(key if key is not None else F.col(self.key)), F.lit(self.slices))
 
+    def _sliced(self, df: DataFrame) -> DataFrame:
+        return df.select(*[c for c in df.columns if c != SLICE], self.slice_of().alias(SLICE))
+
     def _dealt(self, df: DataFrame) -> DataFrame:
         # the same hash deals rows to tasks: one task writes one file of one slice
-        own = [c for c in df.columns if c != SLICE]
-        return df.select(*own, self.slice_of().alias(SLICE)).repartition(self.slices, self.key)
+        return self._sliced(df).repartition(self.slices, self.key)
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
         """Store ``df`` as a whole and return it as read back."""
-        writer = self._dealt(df).write.mode("overwrite").partitionBy(SLICE).bucketBy(self.slices, self.key).sortBy(self.key)
-        # most bytes are fingerprints and sentences, which zstd halves
-        writer.option("compression", "zstd").option("path", f"{self.root}/{table}").saveAsTable(self.name(table))
+        writer = self._dealt(df).write.mode("overwrite").partitionBy(SLICE).bucketBy(self.slices, self.key)
+        with self._set({_WRITERS: str(self.slices)}):
+            # most bytes are fingerprints and sentences, which zstd halves
+            writer.option("compression", "zstd").option("path", f"{self.root}/{table}").saveAsTable(self.name(table))
         return self.read(table)
 
+    @contextmanager
+    def _set(self, settings: dict[str, str]) -> Iterator[None]:
+        """Settings for one write. A task holds the rows of one slice, so it needs one open file and no sort by
+        slice: a few open files are allowed, and beyond them Spark sorts after all."""
+        before = {k: self.spark.conf.get(k, None) for k in settings}
+        for key, value in settings.items():
+            self.spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
+
     def read(self, table: str, touched: Sequence[int] | None = None) -> DataFrame:
         """A table, or those of its slices that are named; others are not even listed."""
         rows = self.spark.table(self.name(table))
@@ -64,26 +84,34 @@ class SlicedStore:
         """Put ``df``, all rows of the ``touched`` slices, in the place of what they hold.
 
         ``df`` may read the table itself: it is stored first. Not so with ``like``, another table of the store
-        with rows in the same slices as ``df``: then ``df`` is computed and written once, and rows that come
-        from this store's tables are not moved. A slice that is left without rows is emptied. Repeating a
-        replacement after a failure gives the same table.
+        with rows in the same slices as ``df``, which comes from this store's tables: then ``df`` is computed and
+        written once, and its rows are not moved, a union of tables neither. New slices take the place of old ones when all are written, so
+        ``df`` may read the table then too, but a failure among the last steps can leave slices empty: see
+        ``begin``. A slice that is left without rows is emptied. Repeating a replacement after a failure gives
+        the same table if ``df`` does not read it.
         """
         columns = self.spark.table(self.name(table)).columns
         new = df.select(*[c for c in columns if c != SLICE])
         if like is None:
             new = materialise(new, f"slices-{table}")
-        before = self.spark.conf.get(_OVERWRITE)
-        self.spark.conf.set(_OVERWRITE, "dynamic")
-        try:
-            self._dealt(new).write.insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(_OVERWRITE, before)
+        with self._set({_OVERWRITE: "dynamic", _WRITERS: str(self.slices)}):
+            (self._dealt(new) if like is None else self._sliced(new)).write.insertInto(self.name(table), overwrite=True)
         rows = new.select(self.slice_of().alias(SLICE)) if like is None else self.read(like, touched).select(SLICE)
         filled = {r[0] for r in rows.distinct().collect()}
         for empty in sorted(set(touched) - filled):
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({SLICE} = {int(empty)})")
         return self.read(table)
 
+    def begun(self, table: str) -> list[int]:
+        """The slices of a table whose replacement was begun and not ended: what they hold does not count."""
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return [int(n) for k, v in map(tuple, properties) if k == _OPEN for n in v.split(",") if n]
+
+    def begin(self, table: str, touched: Sequence[int]) -> None:
+        """Note that slices are about to be replaced; no slices: that it is done."""
+        noted = ",".join(map(str, touched))
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('{_OPEN}' = '{noted}')")
+
     def drop(self) -> None:
         """Take the tables of this store out of the catalogue; files stay."""
         for row in self.spark.catalog.listTables(pattern=f"{self.prefix}_*"):
